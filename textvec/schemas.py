@@ -1,0 +1,9 @@
+"""Schemas of the tables that stages hand to each other."""
+
+LINES = "doc STRING, line_no BIGINT, byte_offset BIGINT, line STRING"
+TOKENS = "shard INT, doc STRING, line_no BIGINT, ids ARRAY<INT>"
+SHARDS = "doc STRING, size BIGINT, shard BIGINT"
+VOCAB = "shard INT, token STRING, freq BIGINT"
+VECTORS = "shard INT, token STRING, freq BIGINT, vector ARRAY<DOUBLE>"
+EMBEDDINGS = "word STRING, freq BIGINT, vector ARRAY<DOUBLE>"
+CLOSEST = "word STRING, closest_word STRING"
