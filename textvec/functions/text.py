@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 # A cut after every line end, which leaves the end attached to its line.
 _AFTER_LINE_END = r"(?<=\n)|(?<=\r)(?!\n)"
-_LINE_END = r"(\r\n|\r|\n)\z"
 
 _REPLACEMENT = "�"
 _ESCAPE, _ESCAPED_ESCAPE, _ESCAPED_REPLACEMENT = "﷐", "﷐﷑", "﷐﷒"
@@ -40,8 +39,16 @@ def pieces_with_ends(text: Column) -> Column:
     return F.filter(F.split(text, _AFTER_LINE_END), lambda piece: piece != "")
 
 
+def raw_pieces_with_ends(raw: Column) -> Column:
+    """The same for unchecked strings. Splitting would replace malformed bytes, so it is done on the
+    single-byte reading of the text, whose pieces are turned back into the bytes they came from."""
+    pieces = pieces_with_ends(F.decode(raw.cast("binary"), "ISO-8859-1"))
+    return F.transform(pieces, lambda piece: F.encode(piece, "ISO-8859-1").cast("string"))
+
+
 def without_end(piece: Column) -> Column:
-    return F.regexp_replace(piece, _LINE_END, "")
+    """A piece without its line end (it has only one)."""
+    return F.rtrim(piece, F.lit("\r\n"))
 
 
 def split_lines(text: Column) -> Column:

@@ -34,7 +34,7 @@ def _closers(sizes: np.ndarray, limit: int, start: int, base: int) -> list[int]:
     """Row numbers that close a group, for a chunk whose rows follow ``start`` bytes and whose open
     group began after ``base`` bytes."""
     ends = start + np.cumsum(sizes)
-    found = []
+    found: list[int] = []
     while (row := int(np.searchsorted(ends, base + limit, side="right"))) < len(ends):
         found.append(row)
         base = int(ends[row])
@@ -42,17 +42,23 @@ def _closers(sizes: np.ndarray, limit: int, start: int, base: int) -> list[int]:
 
 
 def _walk_chunk(chunk: DataFrame, order: str, limit: int, start: int, base: int) -> DataFrame:
-    """The closing documents of one chunk, with the bytes up to and including each."""
+    """The closing documents of one chunk, with the bytes up to and including each, and the big
+    documents before each."""
 
     def walk(table: pa.Table) -> pa.Table:
         table = table.sort_by(order)
-        sizes = table["packed"].to_numpy()
-        rows = _closers(sizes, limit, start, base)
-        ends = start + np.cumsum(sizes)[rows] if rows else []
-        return pa.table({order: table[order].take(rows), "end": pa.array(ends, pa.int64())})
+        sizes, big = table["packed"].to_numpy(), table["big"].to_numpy()
+        rows = np.array(_closers(sizes, limit, start, base), dtype=np.int64)
+        return pa.table(
+            {
+                order: table[order].take(pa.array(rows)),
+                "end": pa.array(start + np.cumsum(sizes)[rows], pa.int64()),
+                "bigs": pa.array(np.cumsum(big)[rows], pa.int64()),
+            }
+        )
 
     order_type = chunk.schema[order].dataType.simpleString()
-    return chunk.groupBy("chunk").applyInArrow(walk, f"`{order}` {order_type}, end bigint")
+    return chunk.groupBy("chunk").applyInArrow(walk, f"`{order}` {order_type}, end bigint, bigs bigint")
 
 
 def assign_shards(
@@ -69,6 +75,8 @@ def assign_shards(
     """
     spark = documents.sparkSession
     ship_package(spark)
+    columns = documents.columns
+    documents = written(documents, "sizes")  # sizes may cost a pass over the texts: take it once
     rows, limit = documents.agg(F.count(F.lit(1)), _limit(n_shards, size)).first()
     chunks = max(1, -(-rows // chunk_rows))
     table = written(
@@ -81,35 +89,33 @@ def assign_shards(
         "shard_chunks",
         partition_by=["chunk"],
     )
-    numbers, ends = [], []  # one entry per chunk
-    for row in table.groupBy("chunk").agg(F.sum("packed").alias("bytes")).orderBy("chunk").collect():
+    sums = table.groupBy("chunk").agg(
+        F.sum("packed").alias("bytes"), F.count_if("big").alias("bigs")
+    )
+    numbers, ends, bigs = [], [], [0]  # one entry per chunk
+    for row in sums.orderBy("chunk").collect():
         numbers.append(row["chunk"])
         ends.append((ends[-1] if ends else 0) + row["bytes"])
+        bigs.append(bigs[-1] + row["bigs"])
 
-    closed, base = [], 0  # fewer than n_shards entries
+    closed, base = [], 0  # (key, group, shard): fewer than n_shards entries
     while (at := bisect_right(ends, base + limit)) < len(ends):
-        chunk = table.where(F.col("chunk") == numbers[at]).select("chunk", order, "packed")
+        chunk = table.where(F.col("chunk") == numbers[at]).select("chunk", order, "packed", "big")
         start = ends[at - 1] if at else 0
-        found = _walk_chunk(chunk, order, limit, start, base).orderBy("end").collect()
-        closed += [row[order] for row in found]
-        base = found[-1]["end"]
+        for row in _walk_chunk(chunk, order, limit, start, base).orderBy("end").collect():
+            closed.append((row[order], len(closed), len(closed) + bigs[at] + row["bigs"]))
+            base = row["end"]
 
     order_type = documents.schema[order].dataType.simpleString()
-    closers = spark.createDataFrame(
-        [(key, True) for key in closed], f"`{order}` {order_type}, closes boolean"
-    )
-    marked = table.join(closers, order, "left").withColumn("closes", F.coalesce("closes", F.lit(False)))
-    # a document sees the closings before it: all of them number a shard, the small ones a group
+    closers = spark.createDataFrame(closed, f"`{order}` {order_type}, _group bigint, _shard bigint")
+    marked = table.join(closers.select(order, F.lit(True).alias("closes")), order, "left")
+    closes = F.coalesce("closes", F.lit(False))
+    # what closes before a document: any closing numbers a shard, those of small documents a group
     counted = running_totals(
-        marked, [], ["chunk"], [order],
-        {"shards_before": F.col("closes") | F.col("big"), "group": F.col("closes")},
-    )
-    counted = written(counted, "shard_counts")
-    groups = counted.where("closes").select("group", F.col("shards_before").alias("group_shard"))
-    open_shard = counted.where("closes or big").count()
-    shard = F.when(F.col("big"), F.col("shards_before")).otherwise(
-        F.coalesce("group_shard", F.lit(open_shard))
+        marked, [], ["chunk"], [order], {"_before": closes | F.col("big"), "_group": closes}
     )
-    return counted.join(groups, "group", "left").select(
-        *documents.columns, shard.cast("bigint").alias("shard")
+    open_shard = F.lit(len(closed) + bigs[-1])
+    shard = F.when(F.col("big"), F.col("_before")).otherwise(F.coalesce("_shard", open_shard))
+    return counted.join(closers.select("_group", "_shard"), "_group", "left").select(
+        *columns, shard.cast("bigint").alias("shard")
     )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
-from ..functions.text import drop_malformed, pieces_with_ends, split_lines, without_end
+from ..functions.text import drop_malformed, raw_pieces_with_ends, split_lines, without_end
 from ..operators.totals import running_totals
 from ..workspace import ship_package
 
@@ -78,7 +78,7 @@ def read_lines(
         F.concat("value", F.lit("\n")).alias("piece"),
     )
     # a lone \r ends a line too
-    pieces = F.when(F.contains("piece", F.lit("\r")), pieces_with_ends(F.col("piece"))).otherwise(
+    pieces = F.when(F.contains("piece", F.lit("\r")), raw_pieces_with_ends(F.col("piece"))).otherwise(
         F.array("piece")
     )
     lines = raw.select(*group, "doc", "_block", "_row", F.posexplode(pieces).alias("_part", "piece"))
@@ -90,5 +90,5 @@ def read_lines(
         {"line_no": F.lit(1), "byte_offset": F.octet_length("piece")},
     )
     return numbered.select(
-        *group, "doc", "line_no", "byte_offset", drop_malformed(without_end(F.col("piece"))).alias("line")
+        *group, "doc", "line_no", "byte_offset", without_end(drop_malformed(F.col("piece"))).alias("line")
     )
