@@ -14,9 +14,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from ..workspace import ship_package, written
-from .totals import running_totals
 
 
 def _limit(n_shards: int, size: str) -> Column:
@@ -41,81 +41,90 @@ def _closers(sizes: np.ndarray, limit: int, start: int, base: int) -> list[int]:
     return found
 
 
+def _keys(keys: list) -> np.ndarray:
+    return np.array(keys, dtype=object if keys and isinstance(keys[0], str) else None)
+
+
 def _walk_chunk(chunk: DataFrame, order: str, limit: int, start: int, base: int) -> DataFrame:
-    """The closing documents of one chunk, with the bytes up to and including each, and the big
-    documents before each."""
+    """The closing documents of one chunk, with the bytes up to and including each."""
 
     def walk(table: pa.Table) -> pa.Table:
         table = table.sort_by(order)
-        sizes, big = table["packed"].to_numpy(), table["big"].to_numpy()
+        sizes = table["packed"].to_numpy()
         rows = np.array(_closers(sizes, limit, start, base), dtype=np.int64)
-        return pa.table(
-            {
-                order: table[order].take(pa.array(rows)),
-                "end": pa.array(start + np.cumsum(sizes)[rows], pa.int64()),
-                "bigs": pa.array(np.cumsum(big)[rows], pa.int64()),
-            }
-        )
+        ends = start + np.cumsum(sizes)[rows]
+        return pa.table({order: table[order].take(pa.array(rows)), "end": pa.array(ends, pa.int64())})
 
     order_type = chunk.schema[order].dataType.simpleString()
-    return chunk.groupBy("chunk").applyInArrow(walk, f"`{order}` {order_type}, end bigint, bigs bigint")
+    return chunk.groupBy("chunk").applyInArrow(walk, f"`{order}` {order_type}, end bigint")
 
 
-def assign_shards(
+def shard_column(
     documents: DataFrame, n_shards: int, order: str = "doc", size: str = "size", chunk_rows: int = 1_000_000
-) -> DataFrame:
-    """Add ``shard BIGINT`` to ``documents``, whose ``order`` column is a unique key.
+) -> Column:
+    """The shard number as a column on ``order`` (a unique key) and ``size`` of ``documents``.
 
     Where a group closes depends on where the one before closed, so the closing documents are found
-    one after the other; everything else is parallel. Documents are cut by range into chunks of
-    about ``chunk_rows`` and summed per chunk. The driver steps through these sums, and starts a job
-    of one chunk only where a group closes: the task finds all closings inside its chunk. That makes
-    at most min(n_shards, chunks) short jobs, and fewer than ``n_shards`` closings in all, since
-    every closed shard has more than its n-th part of the bytes. Only keys and sizes take part.
+    one after the other; everything else is parallel. Keys and sizes are stored in chunks of about
+    ``chunk_rows``, cut by range, and summed per chunk. The driver steps through these sums, and
+    starts a job of one chunk only where a group closes: the task finds all closings inside its
+    chunk. That makes at most min(n_shards, chunks) short jobs.
+
+    Fewer than ``n_shards`` documents end a shard (each such shard has more than its n-th part of
+    the bytes), and these are all that is needed: a document is big and its own shard, or belongs to
+    the next closing document. So texts get their shard where they are, without a join or shuffle.
     """
     spark = documents.sparkSession
     ship_package(spark)
-    columns = documents.columns
-    documents = written(documents, "sizes")  # sizes may cost a pass over the texts: take it once
-    rows, limit = documents.agg(F.count(F.lit(1)), _limit(n_shards, size)).first()
-    chunks = max(1, -(-rows // chunk_rows))
+    sizes = written(documents.select(order, F.col(size).cast("bigint").alias("size")), "sizes")
+    rows, limit = sizes.agg(F.count(F.lit(1)), _limit(n_shards, "size")).first()
+    big = F.col("size") > limit
     table = written(
-        documents.repartitionByRange(chunks, order).select(
-            "*",
-            (F.col(size) > limit).alias("big"),
-            F.when(F.col(size) > limit, 0).otherwise(F.col(size)).cast("bigint").alias("packed"),
+        sizes.repartitionByRange(max(1, -(-rows // chunk_rows)), order).select(
+            order,
+            big.alias("big"),
+            F.when(big, 0).otherwise(F.col("size")).alias("packed"),
             F.spark_partition_id().alias("chunk"),
         ),
         "shard_chunks",
         partition_by=["chunk"],
     )
-    sums = table.groupBy("chunk").agg(
-        F.sum("packed").alias("bytes"), F.count_if("big").alias("bigs")
-    )
-    numbers, ends, bigs = [], [], [0]  # one entry per chunk
-    for row in sums.orderBy("chunk").collect():
+    numbers, ends = [], []  # one entry per chunk
+    for row in table.groupBy("chunk").agg(F.sum("packed").alias("bytes")).orderBy("chunk").collect():
         numbers.append(row["chunk"])
         ends.append((ends[-1] if ends else 0) + row["bytes"])
-        bigs.append(bigs[-1] + row["bigs"])
 
-    closed, base = [], 0  # (key, group, shard): fewer than n_shards entries
+    closers, base = [], 0  # fewer than n_shards keys
     while (at := bisect_right(ends, base + limit)) < len(ends):
-        chunk = table.where(F.col("chunk") == numbers[at]).select("chunk", order, "packed", "big")
-        start = ends[at - 1] if at else 0
-        for row in _walk_chunk(chunk, order, limit, start, base).orderBy("end").collect():
-            closed.append((row[order], len(closed), len(closed) + bigs[at] + row["bigs"]))
-            base = row["end"]
-
-    order_type = documents.schema[order].dataType.simpleString()
-    closers = spark.createDataFrame(closed, f"`{order}` {order_type}, _group bigint, _shard bigint")
-    marked = table.join(closers.select(order, F.lit(True).alias("closes")), order, "left")
-    closes = F.coalesce("closes", F.lit(False))
-    # what closes before a document: any closing numbers a shard, those of small documents a group
-    counted = running_totals(
-        marked, [], ["chunk"], [order], {"_before": closes | F.col("big"), "_group": closes}
-    )
-    open_shard = F.lit(len(closed) + bigs[-1])
-    shard = F.when(F.col("big"), F.col("_before")).otherwise(F.coalesce("_shard", open_shard))
-    return counted.join(closers.select("_group", "_shard"), "_group", "left").select(
-        *columns, shard.cast("bigint").alias("shard")
+        chunk = table.where(F.col("chunk") == numbers[at]).select("chunk", order, "packed")
+        found = _walk_chunk(chunk, order, limit, ends[at - 1] if at else 0, base).orderBy("end").collect()
+        closers += [row[order] for row in found]
+        base = found[-1]["end"]
+    bigs = [row[order] for row in table.where("big").select(order).orderBy(order).collect()]
+    closing_order = {key: shard for shard, key in enumerate(sorted(closers + bigs))}
+
+    lookup = spark.sparkContext.broadcast(
+        {
+            "closers": _keys(closers),
+            "closer_shards": np.array([closing_order[k] for k in closers] + [len(closing_order)]),
+            "bigs": _keys(bigs),
+            "big_shards": np.array([closing_order[k] for k in bigs] + [-1]),
+        }
     )
+
+    @F.arrow_udf(LongType())
+    def shard(keys: pa.Array, sizes: pa.Array) -> pa.Array:
+        ends = lookup.value
+        keys, big = keys.to_numpy(zero_copy_only=False), sizes.to_numpy() > limit
+        own = ends["big_shards"][np.searchsorted(ends["bigs"], keys)] if len(ends["bigs"]) else -1
+        group = np.searchsorted(ends["closers"], keys) if len(ends["closers"]) else np.zeros(len(keys), int)
+        return pa.array(np.where(big, own, ends["closer_shards"][group]))
+
+    return shard(F.col(order), F.col(size).cast("bigint"))
+
+
+def assign_shards(
+    documents: DataFrame, n_shards: int, order: str = "doc", size: str = "size", chunk_rows: int = 1_000_000
+) -> DataFrame:
+    """Add ``shard BIGINT`` to ``documents``."""
+    return documents.withColumn("shard", shard_column(documents, n_shards, order, size, chunk_rows))

@@ -60,7 +60,12 @@ def list_text_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_lines(
-    spark: SparkSession, path: str, glob: str = "*", group: tuple[str, ...] = (), across_files: bool = False
+    spark: SparkSession,
+    path: str,
+    glob: str = "*",
+    group: tuple[str, ...] = (),
+    across_files: bool = False,
+    file_size: bool = False,
 ) -> DataFrame:
     """``doc, line_no, byte_offset, line`` of the text files in a directory; doc is the file name.
 
@@ -68,7 +73,9 @@ def read_lines(
     line gets its exact number and offset: lines are counted per file split, and splits are counted
     up per file, or over all files in name order with ``across_files``. ``group`` names partition
     columns of the directory, which are kept and numbered apart. Malformed bytes are dropped.
+    ``file_size`` adds the ``size`` of the file.
     """
+    extra = ["size"] if file_size else []
     raw = spark.read.option("lineSep", "\n").option("pathGlobFilter", glob).text(path)
     raw = raw.select(
         *group,
@@ -76,12 +83,13 @@ def read_lines(
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_row"),
         F.concat("value", F.lit("\n")).alias("piece"),
+        *([F.col("_metadata.file_size").alias("size")] if file_size else []),
     )
     # a lone \r ends a line too
     pieces = F.when(F.contains("piece", F.lit("\r")), raw_pieces_with_ends(F.col("piece"))).otherwise(
         F.array("piece")
     )
-    lines = raw.select(*group, "doc", "_block", "_row", F.posexplode(pieces).alias("_part", "piece"))
+    lines = raw.select(*group, *extra, "doc", "_block", "_row", F.posexplode(pieces).alias("_part", "piece"))
     numbered = running_totals(
         lines,
         [*group] if across_files else [*group, "doc"],
@@ -89,6 +97,5 @@ def read_lines(
         ["_row", "_part"],
         {"line_no": F.lit(1), "byte_offset": F.octet_length("piece")},
     )
-    return numbered.select(
-        *group, "doc", "line_no", "byte_offset", without_end(drop_malformed(F.col("piece"))).alias("line")
-    )
+    line = without_end(drop_malformed(F.col("piece"))).alias("line")
+    return numbered.select(*group, "doc", *extra, "line_no", "byte_offset", line)

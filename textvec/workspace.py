@@ -5,7 +5,6 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,18 +50,11 @@ def spread(df: DataFrame, key: str) -> DataFrame:
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Make this package importable in the Python workers, once per application."""
+    """Make this package importable in the Python workers of a local session.
+
+    On a cluster the package comes with the application (``--py-files``).
+    """
     sc = spark.sparkContext
-    if sc.applicationId in _shipped:
-        return
-    root = os.path.dirname(os.path.abspath(__file__))
-    # the driver's own copy; Spark's file server hands it to the executors
-    archive = os.path.join(tempfile.mkdtemp(prefix="textvec-code-"), "textvec.zip")
-    with zipfile.ZipFile(archive, "w") as out:
-        for folder, _, files in os.walk(root):
-            for name in sorted(files):
-                if name.endswith(".py"):
-                    full = os.path.join(folder, name)
-                    out.write(full, os.path.join("textvec", os.path.relpath(full, root)))
-    sc.addPyFile(archive)
-    _shipped.add(sc.applicationId)
+    if sc.master.startswith("local") and sc.applicationId not in _shipped:
+        sc.addFile(os.path.dirname(os.path.abspath(__file__)), recursive=True)
+        _shipped.add(sc.applicationId)
