@@ -21,8 +21,7 @@ def in_order(df: DataFrame, *order) -> DataFrame:
     A range of the whole key is cut at any row, so that a shard or document with a third of all rows
     spreads over many tasks; a hash of the shard would put it into one.
     """
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(partitions, *order).sortWithinPartitions(*order)
+    return df.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
 def lines_in_order(lines: DataFrame) -> DataFrame:
@@ -31,5 +30,6 @@ def lines_in_order(lines: DataFrame) -> DataFrame:
 
 
 def words_in_order(words: DataFrame) -> DataFrame:
-    """Rows by the bytes of their word."""
-    return in_order(words, "word")
+    """Rows by the bytes of their word, and rows of one word in their given order. The row id makes
+    the key unique, so that also one word's rows can be cut into ranges."""
+    return in_order(words.withColumn("_row", F.monotonically_increasing_id()), "word", "_row").drop("_row")
