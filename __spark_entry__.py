@@ -133,7 +133,7 @@ def src_shards(spark, sf_dir):
 def snk_shards(spark, sf_dir):
     path = new_path(spark, "shards")
     documents = stages.shard_documents(_documents(spark, sf_dir), N_SHARDS, "doc_id")
-    sinks.write_shards(stages.shard_lines(documents, "doc_id"), path, "doc_id")
+    sinks.write_document_shards(documents, path, "doc_id")
     lines = sources.read_lines(spark, path, group=("shard",), across_files=True)
     return lines.select(F.col("shard").cast("bigint").alias("shard"), "line_no", "line")
 

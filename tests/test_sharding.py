@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from textvec.operators.sharding import assign_shards, shard_limit
 from textvec.plans.pipeline import shard_directory
+from textvec.plans.stages import shard_documents
+from textvec.sinks.text import write_document_shards
 from textvec.sources.text import read_lines
 
 
@@ -98,3 +100,27 @@ def test_string_keys_and_other_columns(spark):
     assert found.columns == ["doc", "x", "size", "shard"]
     assert [r["shard"] for r in found.collect()] == _packed([9, 5, 5], 2)
     assert found.where(F.col("shard").isNull()).count() == 0
+
+
+def test_no_documents_and_missing_sizes(spark):
+    documents = spark.createDataFrame([("a", None), ("b", 4), ("c", None)], "doc string, size bigint")
+    assert [r["shard"] for r in assign_shards(documents, 2).orderBy("doc").collect()] == _packed([0, 4, 0], 2)
+    assert assign_shards(documents.where("doc > 'x'"), 2).collect() == []
+
+
+def test_document_shards_in_order(spark, tmp_path):
+    """Members of a shard come last first, each with its lines in order, over several files."""
+    texts = [(d, "\n".join(f"{d}:{n}" for n in range(d % 7 + 1))) for d in range(200)]
+    documents = spark.createDataFrame(texts, "doc bigint, text string").repartition(3)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+    try:
+        write_document_shards(shard_documents(documents, 3), str(tmp_path / "out"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    rows = read_lines(spark, str(tmp_path / "out"), group=("shard",), across_files=True).collect()
+    shards = _packed([len(text) for _, text in texts], 3)
+    for shard in set(shards):
+        found = [r["line"] for r in sorted(rows, key=lambda r: r["line_no"]) if r["shard"] == shard]
+        members = [text for (doc, text) in reversed(texts) if shards[doc] == shard]
+        assert found == "\n".join(members).split("\n")
+    assert len({(r["shard"], r["doc"]) for r in rows}) > 3

@@ -60,7 +60,7 @@ def _walk_chunk(chunk: DataFrame, order: str, limit: int, start: int, base: int)
 
 
 def shard_column(
-    documents: DataFrame, n_shards: int, order: str = "doc", size: str = "size", chunk_rows: int = 1_000_000
+    documents: DataFrame, n_shards: int, order: str = "doc", size: str = "size", chunk_rows: int = 4_000_000
 ) -> Column:
     """The shard number as a column on ``order`` (a unique key) and ``size`` of ``documents``.
 
@@ -76,7 +76,8 @@ def shard_column(
     """
     spark = documents.sparkSession
     ship_package(spark)
-    sizes = written(documents.select(order, F.col(size).cast("bigint").alias("size")), "sizes")
+    bytes_ = F.coalesce(F.col(size), F.lit(0)).cast("bigint")
+    sizes = written(documents.select(order, bytes_.alias("size")), "sizes")
     rows, limit = sizes.agg(F.count(F.lit(1)), _limit(n_shards, "size")).first()
     big = F.col("size") > limit
     table = written(
@@ -120,11 +121,11 @@ def shard_column(
         group = np.searchsorted(ends["closers"], keys) if len(ends["closers"]) else np.zeros(len(keys), int)
         return pa.array(np.where(big, own, ends["closer_shards"][group]))
 
-    return shard(F.col(order), F.col(size).cast("bigint"))
+    return shard(F.col(order), bytes_)
 
 
 def assign_shards(
-    documents: DataFrame, n_shards: int, order: str = "doc", size: str = "size", chunk_rows: int = 1_000_000
+    documents: DataFrame, n_shards: int, order: str = "doc", size: str = "size", chunk_rows: int = 4_000_000
 ) -> DataFrame:
     """Add ``shard BIGINT`` to ``documents``."""
     return documents.withColumn("shard", shard_column(documents, n_shards, order, size, chunk_rows))
