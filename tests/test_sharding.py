@@ -55,6 +55,17 @@ def test_assign_shards(spark, name, chunk_rows):
     assert [row["size"] for row in found] == sizes
 
 
+@pytest.mark.parametrize("n", [5, 150])
+def test_groups_across_many_chunks(spark, n):
+    """Groups longer and shorter than a chunk, keys in text order, runs of empty documents."""
+    rng = random.Random(n)
+    names = sorted(f"{i}.txt" for i in range(1500))
+    sizes = [rng.choice([0, 0, 1, 3, 50, rng.randint(1, 400)]) for _ in names]
+    documents = spark.createDataFrame(list(zip(names, sizes)), "doc string, size bigint").repartition(4)
+    found = assign_shards(documents, n, chunk_rows=100).orderBy("doc").collect()
+    assert [row["shard"] for row in found] == _packed(sizes, n)
+
+
 def test_shards_exceed_the_limit_by_one_member_at_most(spark):
     sizes, n = CASES["random 40"]
     limit = sum(sizes) // n

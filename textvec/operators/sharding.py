@@ -30,33 +30,53 @@ def shard_limit(documents: DataFrame, n_shards: int, size: str = "size") -> Data
     return documents.agg(_limit(n_shards, size))
 
 
-def _closers(sizes: np.ndarray, limit: int, start: int, base: int) -> list[int]:
-    """Row numbers that close a group, for a chunk whose rows follow ``start`` bytes and whose open
-    group began after ``base`` bytes."""
-    ends = start + np.cumsum(sizes)
-    found: list[int] = []
+def _closers(ends: np.ndarray, limit: int, base: int) -> np.ndarray:
+    """Row numbers that close a group, for rows that end at the bytes ``ends``, when the open group
+    began after ``base`` bytes."""
+    found = []
     while (row := int(np.searchsorted(ends, base + limit, side="right"))) < len(ends):
         found.append(row)
         base = int(ends[row])
-    return found
+    return np.array(found, dtype=np.int64)
 
 
-def _keys(keys: list) -> np.ndarray:
-    return np.array(keys, dtype=object if keys and isinstance(keys[0], str) else None)
+def _exits(chunks: DataFrame, order: str, limit: int, starts: dict[int, int]) -> DataFrame:
+    """For every row that could be a chunk's first closing one (``entry``), the chunk's last closing
+    one (``exit``), both as the bytes up to and including the row."""
+
+    def follow(key: tuple, table: pa.Table) -> pa.Table:
+        start = starts[key[0].as_py()]
+        ends = start + np.cumsum(table.sort_by(order)["packed"].to_numpy())
+        # a group open at the start has begun at or before it
+        entries = np.unique(ends[: np.searchsorted(ends, start + limit, side="right") + 1])
+        after = np.append(np.searchsorted(ends, ends + limit, side="right"), len(ends))
+        last = np.searchsorted(ends, entries)
+        while (moving := after[last] < len(ends)).any():
+            last = np.where(moving, after[last], last)
+        return pa.table({"chunk": pa.array([key[0].as_py()] * len(entries), pa.int32()),
+                         "entry": entries, "exit": ends[last]})
 
+    return chunks.groupBy("chunk").applyInArrow(follow, "chunk int, entry bigint, exit bigint")
 
-def _walk_chunk(chunk: DataFrame, order: str, limit: int, start: int, base: int) -> DataFrame:
-    """The closing documents of one chunk, with the bytes up to and including each."""
 
-    def walk(table: pa.Table) -> pa.Table:
+def _closing_rows(
+    chunks: DataFrame, order: str, limit: int, starts: dict[int, int], bases: dict[int, int]
+) -> DataFrame:
+    """The closing documents of the chunks in ``bases``, which has the base each is entered with."""
+
+    def walk(key: tuple, table: pa.Table) -> pa.Table:
         table = table.sort_by(order)
-        sizes = table["packed"].to_numpy()
-        rows = np.array(_closers(sizes, limit, start, base), dtype=np.int64)
-        ends = start + np.cumsum(sizes)[rows]
-        return pa.table({order: table[order].take(pa.array(rows)), "end": pa.array(ends, pa.int64())})
+        ends = starts[key[0].as_py()] + np.cumsum(table["packed"].to_numpy())
+        rows = _closers(ends, limit, bases[key[0].as_py()])
+        return pa.table({order: table[order].take(pa.array(rows)), "end": pa.array(ends[rows], pa.int64())})
 
-    order_type = chunk.schema[order].dataType.simpleString()
-    return chunk.groupBy("chunk").applyInArrow(walk, f"`{order}` {order_type}, end bigint")
+    order_type = chunks.schema[order].dataType.simpleString()
+    visited = chunks.where(F.col("chunk").isin(list(bases)))
+    return visited.groupBy("chunk").applyInArrow(walk, f"`{order}` {order_type}, end bigint")
+
+
+def _keys(keys: list) -> np.ndarray:
+    return np.array(keys, dtype=object if keys and isinstance(keys[0], str) else None)
 
 
 def shard_column(
@@ -64,11 +84,12 @@ def shard_column(
 ) -> Column:
     """The shard number as a column on ``order`` (a unique key) and ``size`` of ``documents``.
 
-    Where a group closes depends on where the one before closed, so the closing documents are found
-    one after the other; everything else is parallel. Keys and sizes are stored in chunks of about
-    ``chunk_rows``, cut by range, and summed per chunk. The driver steps through these sums, and
-    starts a job of one chunk only where a group closes: the task finds all closings inside its
-    chunk. That makes at most min(n_shards, chunks) short jobs.
+    Where a group closes depends on where the one before closed. To keep that chain short, keys and
+    sizes are cut by range into chunks of about ``chunk_rows``, and all chunks work out at once where
+    they would be left for every row that may close first in them. The driver then steps from chunk
+    to chunk, one lookup each, skipping chunks in which no group closes: at most
+    min(n_shards, chunks) lookups. Knowing how each chunk is entered, all chunks list their closing
+    documents at once.
 
     Fewer than ``n_shards`` documents end a shard (each such shard has more than its n-th part of
     the bytes), and these are all that is needed: a document is big and its own shard, or belongs to
@@ -90,17 +111,28 @@ def shard_column(
         "shard_chunks",
         partition_by=["chunk"],
     )
-    numbers, ends = [], []  # one entry per chunk
+    packed = table.select("chunk", order, "packed")
+    starts, ends, total = {}, [], 0  # one entry per chunk
     for row in table.groupBy("chunk").agg(F.sum("packed").alias("bytes")).orderBy("chunk").collect():
-        numbers.append(row["chunk"])
-        ends.append((ends[-1] if ends else 0) + row["bytes"])
+        starts[row["chunk"]] = total
+        total += row["bytes"]
+        ends.append(total)
 
-    closers, base = [], 0  # fewer than n_shards keys
+    numbers, bases, base = list(starts), {}, 0
+    exits = None
     while (at := bisect_right(ends, base + limit)) < len(ends):
-        chunk = table.where(F.col("chunk") == numbers[at]).select("chunk", order, "packed")
-        found = _walk_chunk(chunk, order, limit, ends[at - 1] if at else 0, base).orderBy("end").collect()
-        closers += [row[order] for row in found]
-        base = found[-1]["end"]
+        bases[numbers[at]] = base
+        if at + 1 == len(ends):
+            break
+        if exits is None:
+            exits = written(_exits(packed, order, limit, starts), "shard_exits", partition_by=["chunk"])
+        entered = (F.col("chunk") == numbers[at]) & (F.col("entry") > base + limit)
+        base = exits.where(entered).agg(F.min_by("exit", "entry")).first()[0]
+
+    closers = []  # fewer than n_shards keys
+    if bases:
+        found = _closing_rows(packed, order, limit, starts, bases).orderBy("end").collect()
+        closers = [row[order] for row in found]
     bigs = [row[order] for row in table.where("big").select(order).orderBy(order).collect()]
     closing_order = {key: shard for shard, key in enumerate(sorted(closers + bigs))}
 
