@@ -53,6 +53,18 @@ def test_read_lines(spark, directory, split_bytes):
         assert found == _expected(content), name
 
 
+def test_positions_sort_like_numbers(spark, directory):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        lines = read_lines(spark, str(directory), numbered=False)
+        assert "Exchange" not in lines._jdf.queryExecution().executedPlan().toString()
+        rows = lines.orderBy("doc", "line_no").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    expected = [(name, row[2]) for name in sorted(FILES) for row in _expected(FILES[name])]
+    assert [(r["doc"], r["line"]) for r in rows] == expected
+
+
 def test_read_lines_across_files(spark, directory):
     rows = read_lines(spark, str(directory), across_files=True).orderBy("line_no").collect()
     lines = [row[2] for name in sorted(FILES) for row in _expected(FILES[name])]

@@ -66,6 +66,7 @@ def read_lines(
     group: tuple[str, ...] = (),
     across_files: bool = False,
     file_size: bool = False,
+    numbered: bool = True,
 ) -> DataFrame:
     """``doc, line_no, byte_offset, line`` of the text files in a directory; doc is the file name.
 
@@ -74,6 +75,10 @@ def read_lines(
     up per file, or over all files in name order with ``across_files``. ``group`` names partition
     columns of the directory, which are kept and numbered apart. Malformed bytes are dropped.
     ``file_size`` adds the ``size`` of the file.
+
+    Numbering shuffles the lines once, by file split. Stages that need only the order of lines read
+    with ``numbered=False``: ``line_no`` is then the sortable position of the line (file split, row
+    and part of the row), there is no ``byte_offset``, and nothing is shuffled.
     """
     extra = ["size"] if file_size else []
     raw = spark.read.option("lineSep", "\n").option("pathGlobFilter", glob).text(path)
@@ -90,12 +95,15 @@ def read_lines(
         F.array("piece")
     )
     lines = raw.select(*group, *extra, "doc", "_block", "_row", F.posexplode(pieces).alias("_part", "piece"))
-    numbered = running_totals(
+    line = without_end(drop_malformed(F.col("piece"))).alias("line")
+    if not numbered:
+        position = F.struct("_block", "_row", "_part").alias("line_no")
+        return lines.select(*group, "doc", *extra, position, line)
+    counted = running_totals(
         lines,
         [*group] if across_files else [*group, "doc"],
         ["doc", "_block"] if across_files else ["_block"],
         ["_row", "_part"],
         {"line_no": F.lit(1), "byte_offset": F.octet_length("piece")},
     )
-    line = without_end(drop_malformed(F.col("piece"))).alias("line")
-    return numbered.select(*group, "doc", *extra, "line_no", "byte_offset", line)
+    return counted.select(*group, "doc", *extra, "line_no", "byte_offset", line)
