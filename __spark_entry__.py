@@ -50,9 +50,7 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``shard, doc, line_no, ids`` with the white-space tokens of every line as ids."""
-    documents = layout.add_shard(_documents(spark, sf_dir), 2)
-    keyed = documents.select(F.struct("shard", "doc").alias("key"), "text")
-    lines = sources.table_lines(keyed, doc="key").select("doc.*", "line_no", "line")
+    lines = stages.document_lines(_documents(spark, sf_dir), 2)
     ids = text.white_space_tokens(F.col("line")).alias("ids")
     return lines.select("shard", "doc", "line_no", ids)
 
@@ -379,8 +377,8 @@ def ml_export(spark, sf_dir):
 
 
 def pipe_run(spark, sf_dir):
-    lines = sources.table_lines(_documents(spark, sf_dir))
-    params = RunParams(train=TrainParams(vector_size=16, **SMALL), vocab=VOCAB)
+    lines = stages.document_lines(_documents(spark, sf_dir), 2)
+    params = RunParams(token_shards=2, train=TrainParams(vector_size=16, **SMALL), vocab=VOCAB)
     return pipeline.run_lines(lines, new_path(spark, "run"), params)
 
 

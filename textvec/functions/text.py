@@ -85,11 +85,16 @@ def text_to_ids(text: Column) -> Column:
 
 def name_hash(name: Column) -> Column:
     """The 31-polynomial hash of a name over its UTF-16 units, modulo 2**32."""
+
+    def fold(units: Column, value) -> Column:
+        return F.aggregate(
+            units, F.lit(0).cast("bigint"), lambda h, u: (h * 31 + value(u)) % F.lit(1 << 32)
+        )
+
     units = F.regexp_extract_all(F.hex(F.encode(name, "UTF-16BE")), F.lit("(.{4})"))
-    return F.aggregate(
-        F.transform(units, lambda u: F.conv(u, 16, 10).cast("bigint")),
-        F.lit(0).cast("bigint"),
-        lambda h, unit: (h * 31 + unit) % F.lit(1 << 32),
+    # the characters of an ASCII name are its units: half the time
+    return F.when(F.length(name) == F.octet_length(name), fold(F.split(name, ""), F.ascii)).otherwise(
+        fold(units, lambda u: F.conv(u, 16, 10).cast("bigint"))
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
@@ -22,27 +22,31 @@ def _starts(sizes: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(lists, pa.int32()), pa.array(before))
 
 
-def table_lines(documents: DataFrame, doc: str = "doc", text: str = "text", offsets: bool = False) -> DataFrame:
-    """``doc, line_no, [byte_offset,] line`` of a table with one text per row.
+def table_lines(
+    documents: DataFrame,
+    doc: str = "doc",
+    text: str = "text",
+    offsets: bool = False,
+    keep: tuple[str, ...] = (),
+) -> DataFrame:
+    """``doc, <keep>, line_no, [byte_offset,] line`` of a table with one text per row.
 
     Line numbers come from the position in the split, so nothing is shuffled. For offsets only the
     array of line sizes goes through Python.
     """
-    lines: Column = split_lines(F.col(text))
+    lines = split_lines(F.col(text))
+    line_no = F.col("line_no").cast("bigint").alias("line_no")
     if not offsets:
-        rows = documents.select(F.col(doc).alias("doc"), F.posexplode(lines).alias("line_no", "piece"))
-        return rows.select("doc", F.col("line_no").cast("bigint").alias("line_no"), "piece.line")
+        # exploded as an expression: for a column Catalyst adds a filter that splits a second time
+        pieces = F.posexplode(lines).alias("line_no", "piece")
+        rows = documents.select(F.col(doc).alias("doc"), *keep, pieces)
+        return rows.select("doc", *keep, line_no, "piece.line")
     ship_package(documents.sparkSession)
-    split = documents.select(F.col(doc).alias("doc"), lines.alias("lines"))
-    placed = split.select("doc", "lines", _starts(F.col("lines.bytes")).alias("starts"))
-    rows = placed.select(
-        "doc", F.posexplode(F.arrays_zip("lines.line", "starts")).alias("line_no", "piece")
-    )
-    return rows.select(
-        "doc",
-        F.col("line_no").cast("bigint").alias("line_no"),
-        F.col("piece.starts").alias("byte_offset"),
-        "piece.line",
+    split = documents.select(F.col(doc).alias("doc"), *keep, lines.alias("lines"))
+    placed = split.withColumn("starts", _starts(F.col("lines.bytes")))
+    pieces = F.posexplode(F.arrays_zip("lines.line", "starts")).alias("line_no", "piece")
+    return placed.select("doc", *keep, pieces).select(
+        "doc", *keep, line_no, F.col("piece.starts").alias("byte_offset"), "piece.line"
     )
 
 
