@@ -150,7 +150,8 @@ def snk_emb(spark, sf_dir):
 
 def snk_closest(spark, sf_dir):
     path = new_path(spark, "closest_lines")
-    sinks.write_closest(jon_closest(spark, sf_dir), path)
+    # stored first: writing in order samples its input, which would score it twice
+    sinks.write_closest(written(jon_closest(spark, sf_dir), "closest"), path)
     return sources.read_lines(spark, path, across_files=True).select("line_no", "line")
 
 

@@ -82,7 +82,8 @@ def read_lines(
 
     Numbering shuffles the lines once, by file split. Stages that need only the order of lines read
     with ``numbered=False``: ``line_no`` is then the sortable position of the line (file split, row
-    and part of the row), there is no ``byte_offset``, and nothing is shuffled.
+    and part of the row, after the file with ``across_files``), there is no ``byte_offset``, and
+    nothing is shuffled.
     """
     extra = ["size"] if file_size else []
     raw = spark.read.option("lineSep", "\n").option("pathGlobFilter", glob).text(path)
@@ -101,7 +102,8 @@ def read_lines(
     lines = raw.select(*group, *extra, "doc", "_block", "_row", F.posexplode(pieces).alias("_part", "piece"))
     line = without_end(drop_malformed(F.col("piece"))).alias("line")
     if not numbered:
-        position = F.struct("_block", "_row", "_part").alias("line_no")
+        file = ["doc"] if across_files else []
+        position = F.struct(*file, "_block", "_row", "_part").alias("line_no")
         return lines.select(*group, "doc", *extra, position, line)
     counted = running_totals(
         lines,
@@ -111,3 +113,16 @@ def read_lines(
         {"line_no": F.lit(1), "byte_offset": F.octet_length("piece")},
     )
     return counted.select(*group, "doc", *extra, "line_no", "byte_offset", line)
+
+
+def read_corpus(spark: SparkSession, path: str) -> DataFrame:
+    """``doc, line_no, line`` of a directory of texts, in the order of the lines but not numbered.
+
+    A document is a file, or a shard as written by ``write_shards``: shard ``n`` is the document
+    ``<n>.txt``, whatever the number of its files.
+    """
+    if "shard" not in spark.read.text(path).columns:
+        return read_lines(spark, path, numbered=False)
+    lines = read_lines(spark, path, group=("shard",), across_files=True, numbered=False)
+    doc = F.concat(F.col("shard").cast("string"), F.lit(".txt")).alias("doc")
+    return lines.select(doc, "line_no", "line")
