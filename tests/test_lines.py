@@ -100,3 +100,12 @@ def test_list_text_files(spark, tmp_path):
     (tmp_path / "deeper" / "e.txt").write_bytes(b"no")
     found = list_text_files(spark, str(tmp_path)).select("doc", "size").collect()
     assert sorted(map(tuple, found)) == [("a.txt", 5), ("d.txt", 5)]
+
+
+def test_file_names_are_plain(spark, tmp_path):
+    """Both readers give the name itself, as sharding joins on it by value."""
+    names = ["a b.txt", "c#d.txt", "e%20f.txt", "g+h.txt", "i+ j%.txt", "é.txt"]
+    for name in names:
+        (tmp_path / name).write_text("x\n")
+    assert sorted(r["doc"] for r in list_text_files(spark, str(tmp_path)).collect()) == names
+    assert sorted(r["doc"] for r in read_lines(spark, str(tmp_path)).collect()) == names

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
@@ -22,6 +22,13 @@ def _starts(sizes: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(lists, pa.int32()), pa.array(before))
 
 
+def _file_name() -> Column:
+    """The name of the file a row comes from; Spark gives it as a part of a URI."""
+    name = F.col("_metadata.file_name")
+    decoded = F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+    return F.when(F.contains(name, F.lit("%")), decoded).otherwise(name)
+
+
 def table_lines(
     documents: DataFrame,
     doc: str = "doc",
@@ -89,7 +96,7 @@ def read_lines(
     raw = spark.read.option("lineSep", "\n").option("pathGlobFilter", glob).text(path)
     raw = raw.select(
         *group,
-        F.col("_metadata.file_name").alias("doc"),
+        _file_name().alias("doc"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_row"),
         F.concat("value", F.lit("\n")).alias("piece"),
