@@ -55,6 +55,6 @@ def ship_package(spark: SparkSession) -> None:
     On a cluster the package comes with the application (``--py-files``).
     """
     sc = spark.sparkContext
-    if sc.master.startswith("local") and sc.applicationId not in _shipped:
+    if (sc.master == "local" or sc.master.startswith("local[")) and sc.applicationId not in _shipped:
         sc.addFile(os.path.dirname(os.path.abspath(__file__)), recursive=True)
         _shipped.add(sc.applicationId)
