@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textvec.llm import packing, secrets
+from textvec.llm import packing, secrets, simhash
 from textvec.llm.common import table
 
 
+def op1_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_digest(table(spark, sf_dir, "documents"))
 
