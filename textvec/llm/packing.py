@@ -32,95 +32,118 @@ _SIMPLE = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
 _RUNS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
 
 
+class _Numbered(dict):
+    """Numbers its keys in the order in which they are first asked for."""
+
+    def __missing__(self, key):
+        self[key] = number = len(self)
+        return number
+
+
+class _Lists:
+    """Numbered lists of token ids in two flat arrays."""
+
+    def __init__(self):
+        self.starts = np.zeros(1, np.int64)
+        self.ids = np.zeros(0, np.uint32)
+
+    def extend(self, lengths: np.ndarray, ids: np.ndarray) -> None:
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
+        self.ids = np.concatenate([self.ids, ids])
+
+    def joined(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The lists numbered ``at`` one after the other, and where each begins and the last ends."""
+        lengths = self.starts[at + 1] - self.starts[at]
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        places = np.arange(ends[-1]) + np.repeat(self.starts[at] - ends[:-1], lengths)
+        return self.ids[places], ends
+
+
 class WordIds:
     """Token ids of white-space separated words, each distinct word encoded once.
 
     The tokenizer never joins characters across white space, so a text's ids are those of its
     words in order. Words of ASCII and Latin-1 letters are cut as the tokenizer's own pattern cuts
-    them and their runs are encoded many at a time; all other words go through the whole
-    tokenizer. At most ``limit`` words are remembered between batches.
+    them, and their runs are encoded many at a time; the mark that ends a run's last token tells
+    them apart again. All other words go through the whole tokenizer. About ``limit`` words are
+    remembered between batches.
     """
 
     def __init__(self, path: str, limit: int = 500_000):
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.whole = Tokenizer.from_file(path)
-        self.runs = Tokenizer.from_file(path)
-        self.runs.normalizer = normalizers.Sequence([])
-        self.runs.pre_tokenizer = pre_tokenizers.Sequence(
+        self.fast = Tokenizer.from_file(path)
+        self.fast.normalizer = normalizers.Sequence([])
+        self.fast.pre_tokenizer = pre_tokenizers.Sequence(
             [
                 pre_tokenizers.WhitespaceSplit(),
                 pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
             ]
         )
+        vocabulary = self.fast.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.limit = limit
         self.clear()
 
     def clear(self) -> None:
-        self.index = _Numbered()
-        self.starts = np.zeros(1, np.int64)
-        self.lengths = np.zeros(0, np.int64)
-        self.ids = np.zeros(0, np.uint32)
-
-    def _encode_runs(self, runs: list[str]) -> list[list[int]]:
-        """Ids of each run; many runs are encoded at once and cut by the run a token is in."""
-        out: list[list[int]] = [[] for _ in runs]
-        for at in range(0, len(runs), 1000):
-            encoded = self.runs.encode(" ".join(runs[at : at + 1000]), add_special_tokens=False)
-            for run, token in zip(encoded.word_ids, encoded.ids, strict=True):
-                out[at + run].append(token)
-        return out
+        self.index, self.words = _Numbered(), _Lists()
+        self.run_index, self.runs = _Numbered(), _Lists()
+
+    def _encode_runs(self, runs: list[str]) -> None:
+        """Encode the runs numbered last; one that starts with a blank is a word for the whole tokenizer."""
+        plain = [run for run in runs if run[0] != " "]
+        rows = [" ".join(plain[i : i + 500]) for i in range(0, len(plain), 500)]
+        encoded = [e.ids for e in self.fast.encode_batch_fast(rows, add_special_tokens=False)]
+        ids = np.array(list(chain.from_iterable(encoded)), np.uint32)
+        bounds = np.concatenate([[0], np.flatnonzero(self.ends[ids]) + 1])
+        if len(bounds) != len(plain) + 1:
+            raise ValueError("the vocabulary does not mark the end of every run")
+        if len(plain) == len(runs):
+            self.runs.extend(np.diff(bounds), ids)
+            return
+        parts = iter(np.split(ids, bounds[1:-1]))
+        lists = [
+            np.array(self.whole.encode(run[1:], add_special_tokens=False).ids, np.uint32) if run[0] == " " else next(parts)
+            for run in runs
+        ]
+        self.runs.extend(np.fromiter(map(len, lists), np.int64, len(lists)), np.concatenate(lists))
 
     def _add(self, words: list[bytes]) -> None:
         """Encode the words numbered last."""
-        pieces: list[list[str] | list[int]] = []
-        runs: dict[str, int] = {}
+        known, find, flat, counts = len(self.run_index), self.run_index.__getitem__, [], []
         for raw in words:
             word = raw.decode("utf-8", "replace")
             if _SIMPLE.fullmatch(word) and "<|" not in word:
                 parts = _RUNS.findall(word.lower())
-                for part in parts:
-                    runs.setdefault(part, len(runs))
-                pieces.append(parts)
+                flat += map(find, parts)
+                counts.append(len(parts))
             else:
-                pieces.append(self.whole.encode(word, add_special_tokens=False).ids)
-        ids = dict(zip(runs, self._encode_runs(list(runs)), strict=True))
-        rows = [
-            [token for part in parts for token in ids[part]] if parts and isinstance(parts[0], str) else parts
-            for parts in pieces
-        ]
-        lengths = np.fromiter(map(len, rows), np.int64, len(rows))
-        self.lengths = np.concatenate([self.lengths, lengths])
-        self.starts = np.concatenate([[0], np.cumsum(self.lengths)])
-        flat = np.fromiter(chain.from_iterable(rows), np.uint32, int(lengths.sum()))
-        self.ids = np.concatenate([self.ids, flat])
+                flat.append(find(" " + word))
+                counts.append(1)
+        if len(self.run_index) > known:
+            self._encode_runs(list(islice(self.run_index, known, None)))
+        ids, ends = self.runs.joined(np.array(flat, np.int64))
+        bounds = ends[np.concatenate([[0], np.cumsum(counts)])]
+        self.words.extend(np.diff(bounds), ids)
 
     def texts(self, texts: list[bytes]) -> list[np.ndarray]:
         if len(self.index) > self.limit:
             self.clear()
         known = len(self.index)
-        split = [text.split() for text in texts]
+        # the tokenizer lowers letters itself, but its special tokens are told by their case
+        split = [(text if b"<|" in text else text.lower()).split() for text in texts]
         n_words = np.fromiter(map(len, split), np.int64, len(split))
         find = self.index.__getitem__
         at = np.fromiter(map(find, chain.from_iterable(split)), np.int64, int(n_words.sum()))
         if len(self.index) > known:
             self._add(list(islice(self.index, known, None)))
-        lengths = self.lengths[at]
-        ends = np.concatenate([[0], np.cumsum(lengths)])
-        places = np.arange(ends[-1]) + np.repeat(self.starts[at] - ends[:-1], lengths)
-        ids = self.ids[places]
+        ids, ends = self.words.joined(at)
         bounds = ends[np.concatenate([[0], np.cumsum(n_words)])]
         return [ids[low:high] for low, high in zip(bounds, bounds[1:], strict=False)]
 
 
-class _Numbered(dict):
-    """Numbers its keys in the order in which they are first asked for."""
-
-    def __missing__(self, key: bytes) -> int:
-        self[key] = number = len(self)
-        return number
-
-
 _words: dict[str, WordIds] = {}
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textvec.llm import packing, secrets, simhash
+from textvec.llm import packing, ppm, quality_rules, secrets, simhash
 from textvec.llm.common import table
 
 
@@ -12,6 +12,14 @@ def op1_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_ppm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.score(table(spark, sf_dir, "documents"), ppm.held_out())
+
+
+def op4_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judged(table(spark, sf_dir, "documents"))
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_digest(table(spark, sf_dir, "documents"))
 
