@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textvec.llm import packing, ppm, quality_rules, secrets, simhash
+from textvec.llm import knn_quality, packing, ppm, quality_rules, secrets, simhash
 from textvec.llm.common import table
 
 
@@ -16,6 +16,10 @@ def op2_ppm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.score(table(spark, sf_dir, "documents"), ppm.held_out())
 
 
+def op3_knn_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return knn_quality.classified(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(table(spark, sf_dir, "documents"))
 
