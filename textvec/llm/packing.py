@@ -18,6 +18,7 @@ from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -69,7 +70,7 @@ class WordIds:
     remembered between batches.
     """
 
-    def __init__(self, path: str, limit: int = 500_000):
+    def __init__(self, path: str, limit: int = 300_000):
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.whole = Tokenizer.from_file(path)
@@ -153,7 +154,7 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def pieces(docs: DataFrame, tokenizer_path: str, window: int, end_id: int, batch_bytes: int = 1 << 23) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer_path: str, window: int, end_id: int, batch_bytes: int = 1 << 21) -> DataFrame:
     """Whole windows from the start of every document, then its tail; one row per piece.
 
     A null text counts as empty and yields the end id alone. Rows that repeat stay apart.
@@ -163,7 +164,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, window: int, end_id: int, batch
         words = _words.setdefault(tokenizer_path, None) or WordIds(tokenizer_path)
         _words[tokenizer_path] = words
         keys, texts = batch.column(0), batch.column(1)
-        sizes = np.cumsum([len(x) for x in texts.to_pylist()]) if len(texts) else []
+        sizes = np.cumsum(pc.binary_length(texts).to_numpy())
         bounds = [0, *(np.flatnonzero(np.diff(sizes // batch_bytes)) + 1), len(texts)]
         for low, high in zip(bounds, bounds[1:], strict=False):
             rows = []

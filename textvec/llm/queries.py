@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textvec.llm import knn_quality, packing, ppm, quality_rules, secrets, simhash
+from textvec.llm import decontaminate, knn_quality, packing, ppm, quality_rules, secrets, simhash
 from textvec.llm.common import table
 
 
@@ -30,3 +30,7 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_min_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), packing.default_tokenizer())
+
+
+def op10_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
