@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textvec.llm import decontaminate, knn_quality, line_dedup, packing, ppm, quality_rules, secrets, simhash
+from textvec.llm import decontaminate, knn_quality, line_dedup, packing, parsing, ppm, quality_rules, secrets, simhash
 from textvec.llm.common import table
 
 
@@ -24,6 +24,10 @@ def op4_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(table(spark, sf_dir, "documents"))
 
 
+def op5_prefix_free_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parsing.without_repeats(table(spark, sf_dir, "documents"))
+
+
 def op6_deletion_neighbourhood(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.report(table(spark, sf_dir, "documents"))
 
