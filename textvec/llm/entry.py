@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
+from textvec.llm import chat
 from textvec.llm import queries as _queries
 
 QUERIES = {name: query for name, query in vars(_queries).items() if name.startswith("op")}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES["pipeline"] = corpus_pipeline.run
+ORACLE_SQL = {"op8_snapshot_collapse": chat.ORACLE}

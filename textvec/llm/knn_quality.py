@@ -193,23 +193,30 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: Column) -> Model:
     return Model(table, matrix, np.array([v["quality"] for v in voters], np.float64))
 
 
-def scored(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
+def scored(docs: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
     """The columns ``keep`` of every row and ``score``: the share of the votes for quality 1, from 0 to 1.
 
     A null text is empty; an empty one is judged by its length alone. Where no neighbour has any
     similarity, and without any label, the share of label 1 among the voters (or one half) stands.
     """
     held = docs.sparkSession.sparkContext.broadcast(model)
+    inner = [f"_{i}" for i in range(len(keep))]
 
     def judge(batch: pa.RecordBatch):
         scores = np.concatenate([held.value.scores(texts) for _, texts in _blocks(batch)])
-        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(scores)], [*keep, "score"])
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in inner), pa.array(scores)], [*inner, "_score"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
-    source = docs.select(*keep, text_column().alias("text")) if "text" not in keep else docs.select(
-        *[text_column().alias("text") if c == "text" else c for c in keep]
-    )
-    return map_batches(source, judge, f"{fields}, score double")
+    kinds = docs.select(*keep).schema
+    fields = ", ".join(f"{i} {f.dataType.simpleString()}" for i, f in zip(inner, kinds, strict=True))
+    source = docs.select(*(F.col(c).alias(i) for c, i in zip(keep, inner, strict=True)), text_column(text).alias("text"))
+    return map_batches(source, judge, f"{fields}, _score double").toDF(*keep, "score")
+
+
+def kept(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows and columns of ``docs`` whose score reaches ``THRESHOLD``; judged in place."""
+    names = docs.columns
+    found = scored(docs, model, names).toDF(*names, "_score_of_text")
+    return found.where(F.col("_score_of_text") >= THRESHOLD).select(*names)
 
 
 def classified(docs: DataFrame, labels: DataFrame, divisor: int = 5) -> DataFrame:

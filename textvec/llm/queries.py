@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textvec.llm import decontaminate, knn_quality, line_dedup, packing, parsing, ppm, quality_rules, secrets, simhash
+from textvec.llm import chat, decontaminate, knn_quality, line_dedup, packing, parsing, ppm, quality_rules, secrets, simhash
 from textvec.llm.common import table
 
 
@@ -36,6 +36,10 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_digest(table(spark, sf_dir, "documents"))
 
 
+def op8_snapshot_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.rendered(table(spark, sf_dir, "conversations"))
+
+
 def op9_min_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), packing.default_tokenizer())
 
