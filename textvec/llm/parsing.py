@@ -127,7 +127,7 @@ def _blobs(chunk: int, bucket: np.ndarray, keys: np.ndarray, marks: np.ndarray)
     order = np.argsort(bucket, kind="stable")
     bucket, keys, marks = bucket[order], keys[order], marks[order]
     at = _runs(bucket)
-    ends = np.append(at[1:], len(bucket))
+    ends = np.append(at, len(bucket))[1:]
     rows = [(chunk, int(bucket[a]), keys[a:b].tobytes(), marks[a:b].tobytes()) for a, b in zip(at, ends, strict=True)]
     columns = list(zip(*rows, strict=True)) or [(), (), (), ()]
     kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
@@ -187,7 +187,7 @@ def _replies(key: tuple, chunk: np.ndarray, keys: np.ndarray, marks: np.ndarray)
     order = np.argsort(chunk, kind="stable")
     chunk, keys, marks = chunk[order], keys[order], marks[order]
     at = _runs(chunk)
-    ends = np.append(at[1:], len(chunk))
+    ends = np.append(at, len(chunk))[1:]
     rows = [
         (int(chunk[a]), key[0].as_py(), keys[a:b].tobytes(), marks[a:b].tobytes()) for a, b in zip(at, ends, strict=True)
     ]
