@@ -119,6 +119,9 @@ def src_emb(spark, sf_dir):
         F.when(F.col("label") == 0, ",")
         .when(F.col("label") == 1, "")
         .when(F.col("label") == 2, F.concat(F.lit("),w"), "word"))
+        .when(F.col("label") == 3, "1,000")
+        .when(F.col("label") == 4, "a,1")
+        .when(F.col("label") == 5, F.concat(F.lit("12,"), "word"))
         .otherwise(F.concat(F.lit("w"), "word"))
     )
     source = _vectors(spark, sf_dir).select(
@@ -166,8 +169,7 @@ def snk_closest(spark, sf_dir):
 def snk_model(spark, sf_dir):
     path = new_path(spark, "model")
     tokens = written(_tokens(spark, sf_dir).select("ids"), "tokens")
-    n_tokens = tokens.agg(F.sum(F.size("ids"))).first()[0]
-    models.save_model(embedding.train(tokens, TrainParams(vector_size=8, **SMALL), n_tokens), path)
+    models.save_model(embedding.train(tokens, TrainParams(vector_size=8, **SMALL)), path)
     found = models.load_model(path).getVectors()
     return found.select(
         F.col("word").alias("token"), F.size(embedding.vector_to_array("vector")).cast("bigint").alias("dim")
@@ -200,17 +202,13 @@ def prj_encode(spark, sf_dir):
 
 
 def prj_decode(spark, sf_dir):
+    """The visible ASCII of every line, put together from the words of its ids."""
     encoded = bpe.encode_lines(_lines(spark, sf_dir), VOCAB)
-    used = encoded.select("doc", F.explode("ids").alias("id")).groupBy("doc", "id").count()
-    visible = F.length(F.regexp_replace("word", r"[^\x21-\x7e]", ""))
-    return (
-        used.join(bpe.token_table(spark, VOCAB), "id")
-        .groupBy("doc")
-        .agg(
-            F.sum(F.octet_length("bytes") * F.col("count")).alias("n_bytes"),
-            F.sum(visible * F.col("count")).alias("n_visible"),
-        )
-    )
+    used = encoded.select("doc", "line_no", F.posexplode("ids").alias("pos", "token"))
+    visible = F.regexp_replace("word", r"[^\x21-\x7e]", "").alias("part")
+    parts = bpe.decode_words(used, VOCAB).select("doc", "line_no", F.struct("pos", visible).alias("part"))
+    lines = parts.groupBy("doc", "line_no").agg(F.sort_array(F.collect_list("part")).alias("parts"))
+    return lines.select("doc", "line_no", F.array_join("parts.part", "").alias("visible"))
 
 
 def flt_empty(spark, sf_dir):
@@ -218,7 +216,8 @@ def flt_empty(spark, sf_dir):
         "page_id", F.translate("html", "<>", "\n\n").alias("text")
     )
     lines = sources.table_lines(spread(pages, "page_id"), doc="page_id")
-    return bpe.encode_lines(lines, VOCAB).select("doc", "line_no")
+    tokens = lines.select("doc", "line_no", text.white_space_tokens(F.col("line")).alias("ids"))
+    return bpe.without_empty(tokens).select("doc", "line_no")
 
 
 def prj_ids2str(spark, sf_dir):
@@ -385,10 +384,37 @@ def ml_export(spark, sf_dir):
     )
 
 
-def pipe_run(spark, sf_dir):
+def _run(spark, sf_dir, path, min_freq):
     lines = stages.document_lines(_documents(spark, sf_dir), 2)
-    params = RunParams(token_shards=2, train=TrainParams(vector_size=16, **SMALL), vocab=VOCAB)
-    return pipeline.run_lines(lines, new_path(spark, "run"), params)
+    train = TrainParams(vector_size=16, **SMALL | {"min_freq": min_freq})
+    return pipeline.run_lines(lines, path, RunParams(token_shards=2, train=train, vocab=VOCAB))
+
+
+def pipe_run(spark, sf_dir):
+    """The whole run; per token shard what it stored, and what holds for all its words."""
+    path = new_path(spark, "run")
+    closest = _run(spark, sf_dir, path, 1)
+    tokens = spark.read.parquet(f"{path}/{pipeline.TABLE_DIR}/tokens")
+    words = spark.read.parquet(f"{path}/{pipeline.TABLE_DIR}/embeddings")
+    size = bpe.token_table(spark, VOCAB).select(F.col("id").alias("token"), F.octet_length("bytes").alias("size"))
+    stored = tokens.select("shard", "doc", "line_no", F.explode("ids").alias("token")).join(size, "token")
+    stored = stored.groupBy("shard").agg(
+        F.count_distinct("doc", "line_no").alias("lines"), F.sum("size").cast("bigint").alias("bytes")
+    )
+    n_ids = tokens.agg(F.sum(F.size("ids")).alias("n")).first()["n"]
+    of_words = words.agg(F.sum("freq").alias("freq"), F.count("word").alias("n")).first()
+    found = closest.join(words.select(F.col("word").alias("closest_word"), F.col("vector").alias("b")), "closest_word")
+    found = found.join(words.select("word", F.col("vector").alias("a")), "word")
+    other, near = F.col("word") != F.col("closest_word"), vectors.cosine(F.col("a"), F.col("b")) > 0
+    of_closest = found.agg(F.count("word").alias("n"), F.bool_and(other).alias("other"), F.bool_and(near).alias("near"))
+    of_closest = of_closest.first()
+    return stored.select(
+        "*",
+        F.lit(n_ids == of_words["freq"]).alias("all_counted"),
+        F.lit(of_closest["n"] == of_words["n"]).alias("all_found"),
+        F.lit(of_closest["other"]).alias("closest_is_other"),
+        F.lit(of_closest["near"]).alias("closest_is_near"),
+    )
 
 
 def pipe_shard(spark, sf_dir):
@@ -420,7 +446,7 @@ QUERIES = [
 
 def entry(spark: SparkSession) -> DataFrame:
     """The whole pipeline on the smallest tables: every word with its nearest other word."""
-    return pipe_run(spark, "/root/testdata/sf0.001")
+    return _run(spark, "/root/testdata/sf0.001", new_path(spark, "run"), SMALL["min_freq"])
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -112,6 +112,7 @@ def oracle_sql() -> dict[str, str]:
             array_to_string(ids, ' ') AS line FROM tokens WHERE len(ids) > 0""",
         "src_emb": _flat(
             "CASE WHEN label = 0 THEN ',' WHEN label = 1 THEN '' WHEN label = 2 THEN '),w' || vec_id "
+            "WHEN label = 3 THEN '1,000' WHEN label = 4 THEN 'a,1' WHEN label = 5 THEN '12,' || vec_id "
             "ELSE 'w' || vec_id END AS word, vec_id + 1 AS freq"
         ),
         "src_shards": f"WITH {TOKENS} SELECT DISTINCT shard FROM tokens",
@@ -132,11 +133,10 @@ def oracle_sql() -> dict[str, str]:
         "snk_model": f"WITH {TOKENS} SELECT token, CAST(8 AS BIGINT) AS dim FROM vocab_all",
         "snk_guard": "SELECT count(*) AS n_rows, CAST(sum(doc_id) AS BIGINT) AS keys, true AS refused FROM documents",
         "prj_encode": f"WITH {_lines()} SELECT doc, line_no, line AS text FROM lines",
-        "prj_decode": f"""WITH {_lines()} SELECT doc, CAST(sum(strlen(line)) AS BIGINT) AS n_bytes,
-            CAST(sum(length(regexp_replace(line, '[^\\x21-\\x7e]', '', 'g'))) AS BIGINT) AS n_visible
-            FROM lines GROUP BY doc""",
+        "prj_decode": f"""WITH {_lines()} SELECT doc, line_no,
+            regexp_replace(line, '[^\\x21-\\x7e]', '', 'g') AS visible FROM lines WHERE line <> ''""",
         "flt_empty": f"""WITH {_lines("page_id", "translate(html, '<>', chr(10) || chr(10))", "pages")}
-            SELECT doc, line_no FROM lines WHERE line <> ''""",
+            SELECT doc, line_no FROM lines WHERE len({SPLIT}) > 0""",
         "prj_ids2str": f"""WITH {TOKENS}, lens AS (
               SELECT doc, line_no, list_transform(ids, lambda x: length(x)) AS n FROM tokens)
             SELECT doc, line_no, array_to_string(n, ' ') AS ids_text,
@@ -179,6 +179,9 @@ def oracle_sql() -> dict[str, str]:
         "ml_w2v": f"WITH {TOKENS} SELECT shard, token, freq, CAST(16 AS BIGINT) AS dim FROM vocab",
         "ml_export": f"""WITH {TOKENS} SELECT 0 AS shard, token, freq, CAST(8 AS BIGINT) AS dim, true AS finite
             FROM vocab_all""",
+        "pipe_run": f"""WITH {_lines(NAME)} SELECT {_shard("doc")} AS shard, count(*) AS lines,
+            CAST(sum(strlen(line)) AS BIGINT) AS bytes, true AS all_counted, true AS all_found,
+            true AS closest_is_other, true AS closest_is_near FROM lines WHERE line <> '' GROUP BY ALL""",
         "pipe_shard": f"""WITH RECURSIVE {SHARDS} SELECT shard, count(*) AS n_docs,
             CAST(sum(size) AS BIGINT) AS bytes FROM sharded GROUP BY shard""",
         "pipe_stages": f"""WITH {TOKENS} SELECT token AS word, CAST(sum(freq) AS BIGINT) AS freq,
