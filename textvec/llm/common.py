@@ -19,6 +19,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def masked(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` under names that no work column has, and the inner name of each column."""
+    inner = {name: f"c{i}" for i, name in enumerate(docs.columns)}
+    return docs.toDF(*inner.values()), inner
+
+
+def unmasked(df: DataFrame, inner: dict[str, str]) -> DataFrame:
+    return df.select(*(F.col(hidden).alias(name) for name, hidden in inner.items()))
+
+
 def text_column(name: str = "text") -> Column:
     """The text; a null one counts as empty."""
     return F.coalesce(F.col(name), F.lit(""))

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textvec.llm.common import map_batches, text_column
+from textvec.llm.common import map_batches, masked, text_column, unmasked
 from textvec.llm.components import components
 from textvec.workspace import written
 
@@ -230,9 +230,10 @@ def representatives(docs: DataFrame, similarity: float = SIMILARITY, shingle: in
     one id are ordered by a hash of the text, and of rows equal in both one stays. Texts without words
     are alike, so one stays. A null text is empty.
     """
-    names = docs.columns
-    keyed = docs.withColumn("_row", F.xxhash64(F.col("doc_id").cast("bigint"), F.col("text")))
-    small = keyed.select(F.col("doc_id").cast("bigint").alias("doc_id"), "_row", "text")
+    hidden, inner = masked(docs)
+    key, text = F.col(inner["doc_id"]).cast("bigint"), F.col(inner["text"])
+    keyed = hidden.withColumn("_row", F.xxhash64(key, text))
+    small = keyed.select(key.alias("doc_id"), "_row", text.alias("text"))
     rows = fingerprints(small, ["doc_id", "_row"], shingle, WIDE).withColumn("id", F.xxhash64("fp"))
     rows = written(rows, "wide")
     prints = rows.groupBy("id").agg(F.first("fp").alias("fp"))
@@ -242,4 +243,4 @@ def representatives(docs: DataFrame, similarity: float = SIMILARITY, shingle: in
     best = best.join(roots.withColumnRenamed("node", "id"), "id", "left")
     best = best.groupBy(F.coalesce("root", "id").alias("root")).agg(F.min("best").alias("best"))
     kept = keyed.join(best.select(F.col("best._row").alias("_row")), "_row", "left_semi")
-    return kept.dropDuplicates(["_row"]).select(*names)
+    return unmasked(kept.dropDuplicates(["_row"]), inner)
