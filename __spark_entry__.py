@@ -26,9 +26,9 @@ from textvec.sources import text as sources  # noqa: E402
 from textvec.workspace import new_path, spread, written  # noqa: E402
 
 try:
-    from textvec.llm import entry as llm_entry  # noqa: E402
+    import textvec.llm.entry as llm_entry  # noqa: E402
 except ModuleNotFoundError as missing:
-    if missing.name not in ("textvec.llm", "corpus_pipeline"):
+    if missing.name not in ("textvec.llm", "textvec.llm.entry", "corpus_pipeline"):
         raise
     llm_entry = None
 
