@@ -65,7 +65,8 @@ def document_frequencies(df: DataFrame, terms: Callable[[pa.RecordBatch], tuple]
     def count(batch: pa.RecordBatch):
         flat, counts = terms(batch)
         doc = np.repeat(np.arange(len(counts)), counts)
-        found = np.unique(doc * n_terms + flat) % n_terms
+        pairs = np.sort(doc * n_terms + flat)  # far faster than np.unique, which hashes
+        found = pairs[np.append(True, pairs[1:] != pairs[:-1])[: len(pairs)]] % n_terms
         sums = np.bincount(found, minlength=n_terms)
         used = np.flatnonzero(sums)
         keys = np.append(used, -1)

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textvec.llm.common import words
+from textvec.llm.common import masked, unmasked
 from textvec.workspace import written
 
 MIN_WORDS = 5
@@ -36,54 +36,55 @@ def _half(n: Column) -> Column:
     return F.when(n < MIN_WORDS, 0).when(n < 8, 2).otherwise(4 * F.floor(n / 8)).cast("int")
 
 
+def _plain(line: Column) -> Column:
+    """The words of a line with one blank between them."""
+    return F.trim(F.regexp_replace(line, r"[\x20\x09-\x0D]{2,}|[\x09-\x0D]", " "))
+
+
 def _lines(docs: DataFrame) -> DataFrame:
-    """``at, row, line, w`` of every line with a word: document and row it is in, its number, its words."""
+    """``at, row, line, t`` of every line with a word: document and row it is in, its number, its words."""
     rows = docs.select(
         F.coalesce(F.col("_id").cast("bigint"), F.lit(LAST)).alias("at"), "_row", F.split("_text", "\n").alias("_lines")
     )
     lines = rows.select("at", F.col("_row").alias("row"), F.posexplode("_lines").alias("line", "text"))
-    return lines.select("at", "row", "line", words(F.col("text")).alias("w")).where(F.size("w") > 0)
+    return lines.select("at", "row", "line", _plain(F.col("text")).alias("t")).where("t <> ''")
 
 
 def _identity() -> list[Column]:
-    text = F.array_join("w", " ")
-    return [F.xxhash64(text).alias("id"), F.xxhash64(F.lit(1), text).alias("id2")]
+    return [F.xxhash64("t").alias("id"), F.xxhash64(F.lit(1), F.col("t")).alias("id2")]
 
 
 def _ends() -> Column:
     """Hashes of head and tail, at the half of this length and of the length below."""
-    n = F.size("w")
-    keys = []
-    for half in (_half(n), F.when(_half(n) != _half(n - 1), _half(n - 1))):
-        for side, part in ((0, F.slice("w", F.lit(1), half)), (1, F.slice("w", n - half + 1, half))):
-            keys.append(F.when(half > 0, F.xxhash64(F.lit(side), half, F.array_join(part, " "))))
+    n, keys = F.col("n"), []
+    below = F.when(_half(n) != _half(n - 1), _half(n - 1))
+    for half in (_half(n), below):
+        for side in (1, -1):
+            part = F.call_function("substring_index", F.col("t"), F.lit(" "), half * side)
+            keys.append(F.when(half > 0, F.xxhash64(F.lit(side), half, part)))
     return F.array_compact(F.array(*keys))
 
 
 def _found(docs: DataFrame) -> DataFrame:
     """``row, line`` of every line that goes. ``docs`` has ``_id, _row, _text``."""
+    blanks = F.octet_length("t") - F.octet_length(F.replace("t", F.lit(" "), F.lit("")))
+    lines = _lines(docs).select("*", (blanks + 1).alias("n"))
+    lines = written(lines.select("at", "row", "line", *_identity(), _ends().alias("ends")), "lines")
     first = F.min(F.struct("at", "row", "line"))
-    lines = _lines(docs).select("at", "row", "line", *_identity(), _ends().alias("ends"))
-    same = lines.groupBy("id", "id2").agg(first.alias("first"), F.first("ends").alias("ends"))
-    same = written(same, "lines")
-    ends = same.select("id", "id2", F.explode("ends").alias("end"))
+    same = written(lines.groupBy("id", "id2").agg(first.alias("first")), "same")
+    ends = lines.select("id", "id2", F.explode("ends").alias("end"))
     met = ends.groupBy("end").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a <> b").select("end")
     some = ends.join(met, "end").select("id", "id2").distinct()
     near = written(same.join(some, ["id", "id2"]).select("id", "id2", "first"), "near")
 
     # the words of those lines, from the document that has each first
     wanted = near.groupBy(F.col("first.row").alias("_row")).agg(
-        F.collect_set(F.col("first.line")).alias("_wanted")
+        F.collect_set(F.struct(F.col("first.line").alias("line"), "id", "first")).alias("_wanted")
     )
-    texts = docs.select("_row", "_text").join(wanted, "_row").dropDuplicates(["_row"])
-    split = texts.select("_row", F.explode("_wanted").alias("line"), F.split("_text", "\n").alias("_lines"))
-    known = split.select(words(F.get("_lines", F.col("line"))).alias("w"), F.col("_row").alias("row"), "line")
-    known = known.select("row", "line", "w", *_identity())
-    known = written(
-        known.join(near.select("id", "id2", "first", F.col("first.row").alias("row"), F.col("first.line").alias("line")),
-                   ["id", "id2", "row", "line"]).select("id", "first", "w"),
-        "known",
-    )
+    texts = docs.select("_row", "_text").join(wanted, "_row")
+    split = texts.select(F.explode("_wanted").alias("x"), F.split("_text", "\n").alias("_lines"))
+    known = split.select("x.id", "x.first", F.split(_plain(F.get("_lines", F.col("x.line"))), " ").alias("w"))
+    known = written(known.dropDuplicates(["id", "first"]), "known")
 
     # sums of 40-bit hashes of word and place: without word i, later words move up by one
     place = Window.partitionBy("id", "first").orderBy("i")
@@ -106,6 +107,9 @@ def _found(docs: DataFrame) -> DataFrame:
     ).where(F.col("n") >= MIN_WORDS - 1)
     full = sums.where("i = 0").select("id", "first", "n", F.lit(None).cast("int").alias("i"), F.col("whole").alias("key"))
     variants = written(shorter.unionByName(full), "variants")
+    # few keys are sent by two lines; only those go into the joins below
+    sent = variants.groupBy("n", "key").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a <> b")
+    variants = written(variants.join(sent.select("n", "key"), ["n", "key"]), "met")
 
     # replaced: the same place and hash, both lines of MIN_WORDS or more
     least = F.min(F.struct("first", "id"))
@@ -142,19 +146,13 @@ def _found(docs: DataFrame) -> DataFrame:
         .where(without("w", "cut") == without("by_w", "by_cut")).select("mine").distinct()
     )
     later = (
-        lines.join(same.select("id", "id2", "first"), ["id", "id2"])
+        lines.select("at", "row", "line", "id", "id2").join(same.select("id", "id2", "first"), ["id", "id2"])
         .where(F.struct("at", "row", "line") != F.col("first"))
         .select("row", "line")
     )
     return later.union(verified.select("mine.row", "mine.line"))
 
 
-def _keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
-    return docs.withColumns(
-        {"_row": _row_hash(key, text), "_id": F.col(key), "_text": F.coalesce(F.col(text), F.lit(""))}
-    )
-
-
 def cut_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with ``_cut``, the numbers of the lines that go, ascending; null where none does.
 
@@ -162,10 +160,10 @@ def cut_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     lines. Rows with one id and different texts are ordered by a hash of the text. Documents without an id
     come last.
     """
-    keyed = _keyed(docs, key, text)
-    found = _found(keyed.select("_id", "_row", "_text"))
+    keyed = docs.withColumn("_row", _row_hash(key, text))
+    found = _found(keyed.select(F.col(key).alias("_id"), "_row", F.coalesce(F.col(text), F.lit("")).alias("_text")))
     cut = found.groupBy(F.col("row").alias("_row")).agg(F.array_sort(F.collect_set("line")).alias("_cut"))
-    return keyed.join(cut, "_row", "left").drop("_row", "_id")
+    return keyed.join(cut, "_row", "left").drop("_row").withColumn("_text", F.coalesce(F.col(text), F.lit("")))
 
 
 def _kept_text() -> Column:
@@ -181,11 +179,11 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     A document of which only blank lines would be left goes as a whole; one that had no word before
     stays as it is. A null text stays null. An empty table gives no rows.
     """
-    names = docs.columns
-    done = cut_lines(docs, key, text).withColumn("_new", _kept_text())
+    hidden, inner = masked(docs)
+    done = cut_lines(hidden, inner[key], inner[text]).withColumn("_new", _kept_text())
     done = done.where(F.col("_cut").isNull() | F.col("_new").rlike(r"[^\x20\x09-\x0D]"))
-    new = F.when(F.col("_cut").isNull(), F.col(text)).otherwise(F.col("_new"))
-    return done.withColumn(text, new).select(*names)
+    new = F.when(F.col("_cut").isNull(), F.col(inner[text])).otherwise(F.col("_new"))
+    return unmasked(done.withColumn(inner[text], new), inner)
 
 
 def report(docs: DataFrame) -> DataFrame:
@@ -198,3 +196,31 @@ def report(docs: DataFrame) -> DataFrame:
         F.length("_new").cast("bigint").alias("kept_chars"),
         F.sha2(F.col("_new"), 256).alias("kept_sha256"),
     )
+
+
+ORACLE = f"""
+WITH parts AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS p FROM documents
+), raw AS (
+  SELECT doc_id, CAST(generate_subscripts(p, 1) AS BIGINT) AS line, unnest(p) AS raw FROM parts
+), plain AS (
+  SELECT *, trim(regexp_replace(raw, '[\\x20\\x09-\\x0D]{{2,}}|[\\x09-\\x0D]', ' ', 'g'), ' ') AS t FROM raw
+), d AS (
+  SELECT t, min(row(doc_id, line)) AS first, string_split(t, ' ') AS w FROM plain WHERE t <> '' GROUP BY t
+), v AS (
+  SELECT t, first, len(w) AS n, i, md5(array_to_string(list_concat(w[1:i - 1], w[i + 1:]), ' ')) AS s
+  FROM (SELECT *, unnest(range(1, len(w) + 1)) AS i FROM d WHERE len(w) >= {MIN_WORDS})
+), near AS (
+  SELECT a.t FROM v a JOIN v b ON a.n = b.n AND a.i = b.i AND a.s = b.s WHERE b.first < a.first
+  UNION SELECT a.t FROM d a JOIN v b ON md5(a.t) = b.s WHERE len(a.w) >= {MIN_WORDS} AND b.first < a.first
+  UNION SELECT a.t FROM v a JOIN d b ON a.s = md5(b.t) WHERE len(b.w) >= {MIN_WORDS} AND b.first < a.first
+), marked AS (
+  SELECT p.doc_id, p.line, p.raw,
+         p.t <> '' AND (near.t IS NOT NULL OR row(p.doc_id, p.line) <> d.first) AS cut
+  FROM plain p LEFT JOIN d ON p.t = d.t LEFT JOIN near ON p.t = near.t
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (cut) AS n_cut,
+       CAST(length(coalesce(string_agg(raw, chr(10) ORDER BY line) FILTER (NOT cut), '')) AS BIGINT) AS kept_chars,
+       sha256(coalesce(string_agg(raw, chr(10) ORDER BY line) FILTER (NOT cut), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
