@@ -94,9 +94,10 @@ def projection(rows: DataFrame, n_terms: int, rank: int, rounds: int = 3, seed:
     step is one pass in which tasks return their share of X^T X B, a block of fixed size.
     """
     rng = np.random.default_rng(seed)
-    block = np.linalg.qr(rng.standard_normal((n_terms, rank + 8)))[0].astype(np.float32)
+    # single precision throughout: the driver holds a few such blocks
+    block = np.linalg.qr(rng.standard_normal((n_terms, rank + 8), dtype=np.float32))[0]
     for _ in range(rounds):
-        block = np.linalg.qr(_power(rows, block))[0].astype(np.float32)
+        block = np.linalg.qr(_power(rows, block))[0]
     small = block.T @ _power(rows, block)
     values, vectors = np.linalg.eigh((small + small.T) / 2)
     order = np.argsort(values)[::-1][:rank]
@@ -119,9 +120,9 @@ def _power(rows: DataFrame, block: np.ndarray) -> np.ndarray:
             used, first = np.unique(flat[order], return_index=True)
             if len(used):
                 total[used] += np.add.reduceat(outer[order], first, axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array([total.astype("<f8").tobytes()], pa.binary())], ["part"])
+        yield pa.RecordBatch.from_arrays([pa.array([total.astype("<f4").tobytes()], pa.binary())], ["part"])
 
-    total = np.zeros((n_terms, width))
+    total = np.zeros((n_terms, width), np.float32)
     for row in rows.mapInArrow(share, "part binary").toLocalIterator():
-        total += np.frombuffer(row["part"], "<f8").reshape(n_terms, width)
+        total += np.frombuffer(row["part"], "<f4").reshape(n_terms, width)
     return total
