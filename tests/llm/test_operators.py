@@ -377,6 +377,20 @@ def test_leaks_are_found_and_clean_texts_kept(spark, odd, empty):
     assert decontaminate.leaks(docs, benchmark.limit(0)).count() == 0
 
 
+def test_short_items_between_rare_words_are_found(spark):
+    rng = random.Random(16)
+    items = [sentence(rng, rng.randint(8, 20)) for _ in range(60)]
+    # items of words that many documents have, between words that no other document has
+    rows = [(1000 + i, " ".join(rng.sample(" ".join(items).split(), 200))) for i in range(100)]
+    for i, item in enumerate(items):
+        rare = [f"{word}{i}x{n}" for n, word in enumerate(sentence(rng, 120).split())]
+        at = rng.randint(0, 120)
+        rows.append((i, " ".join([*rare[:at], item, *rare[at:]])))
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(frame(spark, rows), benchmark).collect()}
+    assert {(d, i) for d, i in found if d < 1000} >= {(i, i) for i in range(60)}
+
+
 def test_subsequences_and_runs():
     assert decontaminate.subsequence(list("abcbdab"), list("bdcaba")) == 4
     assert decontaminate.longest_run(list("xabcy"), list("zzabcabcy")) == 4
