@@ -391,6 +391,34 @@ def test_short_items_between_rare_words_are_found(spark):
     assert {(d, i) for d, i in found if d < 1000} >= {(i, i) for i in range(60)}
 
 
+def test_long_items_and_bare_runs_are_found_as_by_all_passages(spark):
+    rng = random.Random(26)
+    items = [sentence(rng, n) for n in (12, 30, 45, 52, 59, 150, 200, 250, 400) for _ in range(3)]
+    items = [decontaminate.Item.of(i, text.encode()) for i, text in enumerate(items)]
+    rows, whole = [], set()
+    for item in items:
+        words = [w.decode() for w in item.words]
+        at = rng.randint(0, max(0, len(words) - 13))
+        swapped = [w if rng.random() > 0.33 else sentence(rng, 1) for w in words]
+        for kind, part in enumerate((words, words[at : at + 13], swapped)):
+            text = f"{sentence(rng, 90)} {' '.join(part)} {sentence(rng, rng.randint(1, 90))}"
+            rows.append((len(rows), text))
+            if kind < 2:
+                whole.add((rows[-1][0], item.item_id))
+    expected = set()
+    for doc, text in rows:
+        words = text.encode().lower().split()
+        for first, last in zip(*decontaminate.passages(np.array([len(words)]), decontaminate.LENGTH), strict=True):
+            for item in items:
+                n = len(item.words)
+                if item.check(words[max(0, first - n) : last + n]):
+                    expected.add((doc, item.item_id))
+    benchmark = [(item.item_id, b" ".join(item.words).decode()) for item in items]
+    benchmark = spark.createDataFrame(benchmark, "item_id bigint, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(frame(spark, rows), benchmark).collect()}
+    assert found == expected and found > whole
+
+
 def test_subsequences_and_runs():
     assert decontaminate.subsequence(list("abcbdab"), list("bdcaba")) == 4
     assert decontaminate.longest_run(list("xabcy"), list("zzabcabcy")) == 4
