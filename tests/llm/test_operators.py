@@ -419,6 +419,15 @@ def test_long_items_and_bare_runs_are_found_as_by_all_passages(spark):
     assert found == expected and found > whole
 
 
+def test_items_of_one_id_are_all_searched(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "ITEM_BLOCK", 2)
+    rng = random.Random(36)
+    items = [sentence(rng, 30) for _ in range(5)]
+    benchmark = spark.createDataFrame([(7, t) for t in items] + [(7, items[0]), (8, "")], "item_id bigint, text string")
+    found = [r["doc_id"] for r in decontaminate.leaks(frame(spark, list(enumerate(items))), benchmark).collect()]
+    assert sorted(found) == [0, 0, 1, 2, 3, 4]
+
+
 def test_subsequences_and_runs():
     assert decontaminate.subsequence(list("abcbdab"), list("bdcaba")) == 4
     assert decontaminate.longest_run(list("xabcy"), list("zzabcabcy")) == 4

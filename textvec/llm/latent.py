@@ -91,7 +91,8 @@ def projection(rows: DataFrame, n_terms: int, rank: int, rounds: int = 3, seed:
 
     Randomised SVD: a random block is carried through ``rounds`` power steps of X^T X with a QR
     factorisation after each, and the small Gram matrix of the last block gives the directions. A
-    step is one pass in which tasks return their share of X^T X B, a block of fixed size.
+    step is one pass in which tasks return the rows of their share of X^T X B for the terms that they
+    have, so the driver holds the block and its sum whatever the number of tasks.
     """
     rng = np.random.default_rng(seed)
     # single precision throughout: the driver holds a few such blocks
@@ -120,9 +121,11 @@ def _power(rows: DataFrame, block: np.ndarray) -> np.ndarray:
             used, first = np.unique(flat[order], return_index=True)
             if len(used):
                 total[used] += np.add.reduceat(outer[order], first, axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array([total.astype("<f4").tobytes()], pa.binary())], ["part"])
+        used = np.flatnonzero(total.any(axis=1))
+        parts = (used.astype("<i4").tobytes(), total[used].astype("<f4").tobytes())
+        yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in parts], ["terms", "part"])
 
     total = np.zeros((n_terms, width), np.float32)
-    for row in rows.mapInArrow(share, "part binary").toLocalIterator():
-        total += np.frombuffer(row["part"], "<f4").reshape(n_terms, width)
+    for row in rows.mapInArrow(share, "terms binary, part binary").toLocalIterator():
+        total[np.frombuffer(row["terms"], "<i4")] += np.frombuffer(row["part"], "<f4").reshape(-1, width)
     return total
