@@ -132,6 +132,24 @@ def test_representatives_keep_one_of_each_group(spark, odd, empty):
     assert simhash.representatives(empty).count() == 0
 
 
+def test_pairs_at_the_similarity_are_found_and_none_below(spark):
+    rng = random.Random(19)
+    rows, near, far = [], set(), set()
+    for i in range(120):
+        words = sentence(rng, 600).split()
+        edited = list(words)
+        for at in range(10, 590, rng.choice((45, 50, 27, 29))):
+            edited[at] = "changed"
+        sets = [{tuple(w[k : k + 5]) for k in range(596)} for w in (words, edited)]
+        similarity = len(sets[0] & sets[1]) / len(sets[0] | sets[1])
+        (near if similarity >= 0.8 else far).add(1000 + i)
+        assert 0.6 < similarity < 0.9
+        rows += [(i, " ".join(words)), (1000 + i, " ".join(edited))]
+    kept = {r["doc_id"] for r in simhash.representatives(frame(spark, rows)).collect()}
+    # the keys do not find every pair next to 0.8
+    assert kept >= far | set(range(120)) and len(near - kept) >= 0.85 * len(near) > 20
+
+
 def test_ppm_scores_equal_a_trie(spark, docs, odd, empty):
     rows = {r["doc_id"]: r for r in ppm.score(docs, ppm.held_out(), 5000).collect()}
     train = [t for k, t in TEXTS.items() if plain.held_out(k, 7) != 2]

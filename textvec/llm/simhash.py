@@ -66,13 +66,15 @@ def _mixed(hashes: np.ndarray, k: int) -> np.ndarray:
 def fingerprints(docs: DataFrame, keep: list[str], shingle: int = 3, words: int = 1) -> DataFrame:
     """The columns ``keep`` and ``fp``, the fingerprint of the text as ``words`` signed 64-bit numbers.
 
-    A text of fewer words than a shingle is one shingle; one without words, or null, has zeros.
+    A text of fewer words than a shingle is one shingle; one without words, or null, has zeros. Wide
+    fingerprints count a repeated shingle once.
     """
 
     def hashed(batch: pa.RecordBatch):
         rows = []
         for text in batch.column("_text").cast(pa.binary()):
             hashes = shingle_hashes(text.as_py(), shingle)
+            hashes = np.unique(hashes) if words > 1 else hashes
             rows.append(np.concatenate([majority(_mixed(hashes, k)) for k in range(words)]).view("<i8").tolist())
         yield pa.RecordBatch.from_arrays(
             [*(batch.column(c) for c in keep), pa.array(rows, pa.list_(pa.int64()))], [*keep, "fp"]
@@ -169,12 +171,14 @@ SIMILARITY = 0.8
 
 
 def differing_bits(similarity: float, bits: int) -> int:
-    """How many of ``bits`` differ on average between texts whose shingle sets have this Jaccard similarity.
+    """How many of ``bits`` differ at most between texts whose shingle sets have this Jaccard similarity.
 
     Sets of like size with similarity j have the cosine 2j / (1 + j), and a bit differs with the
-    probability of the angle over pi.
+    probability of the angle over pi. That is the mean; four standard deviations are added, as the bits
+    only find candidates.
     """
-    return round(bits * math.acos(2 * similarity / (1 + similarity)) / math.pi)
+    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return round(bits * share + 4 * math.sqrt(bits * share * (1 - share)))
 
 
 def _wide_keys(prints: DataFrame) -> DataFrame:
@@ -222,11 +226,38 @@ def wide_links(prints: DataFrame, limit: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(apart <= limit).select("a", "b")
 
 
+def _sets(texts: DataFrame, shingle: int) -> DataFrame:
+    """``id, hashes``: the sorted hashes of the distinct shingles of each text."""
+
+    def hashed(batch: pa.RecordBatch):
+        sets = [np.unique(shingle_hashes(text.as_py(), shingle)) for text in batch.column("text").cast(pa.binary())]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("id"), pa.array([x.tobytes() for x in sets], pa.binary())], ["id", "hashes"]
+        )
+
+    return map_batches(texts.select("id", text_column().alias("text")), hashed, "id bigint, hashes binary")
+
+
+def similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The ``a, b`` of ``pairs`` whose sets have this Jaccard similarity at least."""
+
+    def judge(batch: pa.RecordBatch):
+        near = []
+        for one, two in zip(batch.column("one"), batch.column("two"), strict=True):
+            x, y = (np.frombuffer(side.as_buffer(), np.uint64) for side in (one, two))
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            near.append(both >= similarity * (len(x) + len(y) - both))
+        yield batch.filter(pa.array(near, pa.bool_())).select(["a", "b"])
+
+    one, two = (sets.select(F.col("id").alias(i), F.col("hashes").alias(name)) for i, name in (("a", "one"), ("b", "two")))
+    return map_batches(pairs.join(one, "a").join(two, "b").select("a", "b", "one", "two"), judge, "a bigint, b bigint")
+
+
 def representatives(docs: DataFrame, similarity: float = SIMILARITY, shingle: int = 5) -> DataFrame:
     """The rows and columns of ``docs`` without near-duplicates: per group the one with the smallest ``doc_id``.
 
-    Texts are near when their wide fingerprints differ in no more bits than ``similarity`` of their
-    shingles lets expect; groups are the components. Rows without an id stand after all others, rows with
+    Texts are near when the sets of their shingles have the Jaccard similarity ``similarity`` at least, which is
+    counted for all pairs that wide fingerprints find; groups are the components. Rows without an id stand after all others, rows with
     one id are ordered by a hash of the text, and of rows equal in both one stays. Texts without words
     are alike, so one stays. A null text is empty.
     """
@@ -236,8 +267,15 @@ def representatives(docs: DataFrame, similarity: float = SIMILARITY, shingle: in
     small = keyed.select(key.alias("doc_id"), "_row", text.alias("text"))
     rows = fingerprints(small, ["doc_id", "_row"], shingle, WIDE).withColumn("id", F.xxhash64("fp"))
     rows = written(rows, "wide")
-    prints = rows.groupBy("id").agg(F.first("fp").alias("fp"))
-    roots = components(wide_links(prints, differing_bits(similarity, 64 * WIDE)))
+    prints = rows.groupBy("id").agg(F.first("fp").alias("fp"), F.min("_row").alias("_row"))
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        pairs = written(pairs, "near")
+        asked = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(prints.select("id", "_row"), "id")
+        texts = small.select("_row", "text").join(asked, "_row").dropDuplicates(["id"])
+        return written(similar(pairs, written(_sets(texts, shingle), "sets"), similarity), "similar")
+
+    roots = components(verified(wide_links(prints, differing_bits(similarity, 64 * WIDE))))
     place = F.struct(F.col("doc_id").isNull(), "doc_id", "_row")
     best = rows.groupBy("id").agg(F.min(place).alias("best"))
     best = best.join(roots.withColumnRenamed("node", "id"), "id", "left")
