@@ -150,6 +150,21 @@ def test_pairs_at_the_similarity_are_found_and_none_below(spark):
     assert kept >= far | set(range(120)) and len(near - kept) >= 0.85 * len(near) > 20
 
 
+def test_crowded_wide_buckets_lose_no_pair(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "SLICE", 50)
+    rng, rows = np.random.default_rng(29), []
+    for i in range(60):
+        bits = rng.integers(0, 2, 1024, dtype=np.uint8)
+        bits[:24] = 1  # the only key that the two of a pair share, and all pairs have it
+        other = bits.copy()
+        other[24:1020:10] ^= 1
+        for k, b in enumerate((bits, other)):
+            rows.append((2 * i + k, np.packbits(b, bitorder="little").view("<i8").tolist()))
+    prints = spark.createDataFrame(rows, "id bigint, fp array<bigint>")
+    roots = simhash.wide_components(prints, 155, lambda pairs: pairs)
+    assert {r["node"]: r["root"] for r in roots.collect()} == {k: k - k % 2 for k in range(120)}
+
+
 def test_ppm_scores_equal_a_trie(spark, docs, odd, empty):
     rows = {r["doc_id"]: r for r in ppm.score(docs, ppm.held_out(), 5000).collect()}
     train = [t for k, t in TEXTS.items() if plain.held_out(k, 7) != 2]

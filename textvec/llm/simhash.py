@@ -16,6 +16,7 @@ That is exact too, and grows with the members, not with their pairs.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from itertools import repeat
 
 import numpy as np
@@ -167,6 +168,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, limit: int = 2) -> DataFr
 
 # Near-duplicates on shingles at a given similarity: wide fingerprints of five-word shingles.
 WIDE, KEYS, KEY_BITS = 16, 96, 24
+SLICE = 1024
 SIMILARITY = 0.8
 
 
@@ -198,14 +200,52 @@ def _wide_keys(prints: DataFrame) -> DataFrame:
     return map_batches(prints.select("id", "fp"), cut, "id bigint, key bigint")
 
 
-def wide_links(prints: DataFrame, limit: int) -> DataFrame:
-    """``a, b``: ids of distinct wide fingerprints ``id, fp`` that differ in at most ``limit`` bits.
+def _apart(a: str, b: str) -> Column:
+    return sum(
+        (F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(1, WIDE)),
+        F.bit_count(F.col(a)[0].bitwiseXOR(F.col(b)[0])),
+    )
+
+
+def _crowded_links(crowded: DataFrame, limit: int) -> DataFrame:
+    """``a, b`` of unlike ``root`` that share a key and differ in at most ``limit`` bits.
+
+    ``crowded`` has ``key, n, id, root, fp``. A bucket is cut into slices of about ``SLICE`` members, and every two
+    slices (and each with itself) meet in one task, which sends only the pairs that are near.
+    """
+    slices = F.ceil(F.col("n") / SLICE).cast("bigint")
+    own = crowded.withColumn("slice", F.pmod(F.xxhash64("id"), slices))
+    meets = own.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), slices - 1)))
+    meets = meets.select(
+        "key", F.least("slice", "other").alias("i"), F.greatest("slice", "other").alias("j"), "slice", "id", "root", "fp"
+    )
+
+    def compare(block: pa.Table) -> pa.Table:
+        i, j = block.column("i")[0].as_py(), block.column("j")[0].as_py()
+        part, ids, roots = (block.column(c).to_numpy() for c in ("slice", "id", "root"))
+        words = block.column("fp").combine_chunks().flatten().to_numpy().reshape(-1, WIDE).view(np.uint64)
+        left, right = np.flatnonzero(part == i), np.flatnonzero(part == j)
+        found = []
+        for at in left.tolist():
+            mine = right[(roots[right] != roots[at]) & ((ids[right] > ids[at]) | (i != j))]
+            apart = np.bitwise_count(words[mine] ^ words[at]).sum(axis=1, dtype=np.int64)
+            found += [(ids[at], ids[k]) for k in mine[apart <= limit].tolist()]
+        pairs = np.array(found, np.int64).reshape(-1, 2)
+        low, high = np.minimum(pairs[:, 0], pairs[:, 1]), np.maximum(pairs[:, 0], pairs[:, 1])
+        return pa.table({"a": low, "b": high})
+
+    return meets.groupBy("key", "i", "j").applyInArrow(compare, "a bigint, b bigint").distinct()
+
+
+def wide_components(prints: DataFrame, limit: int, verified: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``node, root`` over distinct wide fingerprints ``id, fp`` that differ in at most ``limit`` bits and are ``verified``.
 
     Candidates share ``KEY_BITS`` bits at one place of the ring, the start of a chain without a difference.
-    That finds a pair with a probability that grows with its similarity (0.86 at 0.8, 0.97 at 0.85,
-    over 0.99 from 0.9 on). Buckets of more than ``BUCKET`` members compare every member with four of
-    them instead of all pairs.
+    That finds a pair with a probability that grows with its similarity (README). In buckets of more than
+    ``BUCKET`` members each meets four of them first, which links large groups of like texts; then all
+    pairs that are not linked yet are compared, in slices.
     """
+    prints = written(prints, "prints")
     members = written(_wide_keys(prints), "members")
     spread = [F.xxhash64(F.lit(i), "id") for i in range(2)]
     least = [F.min_by("id", x) for x in spread] + [F.max_by("id", x) for x in spread]
@@ -214,16 +254,21 @@ def wide_links(prints: DataFrame, limit: int) -> DataFrame:
     small = kept.where(F.col("n") <= BUCKET)
     one, two = (small.select("key", F.col("id").alias(name)) for name in "ab")
     pairs = one.join(two, "key").where("a < b").select("a", "b")
-    large = kept.where(F.col("n") > BUCKET).select("id", F.explode("some").alias("other"))
-    large = large.where("id <> other").select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"))
-    pairs = pairs.union(large).distinct()
+    large = kept.where(F.col("n") > BUCKET)
+    some = large.select("id", F.explode("some").alias("other")).where("id <> other")
+    pairs = pairs.union(some.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"))).distinct()
     left = prints.select(F.col("id").alias("a"), F.col("fp").alias("fa"))
     right = prints.select(F.col("id").alias("b"), F.col("fp").alias("fb"))
-    apart = sum(
-        (F.bit_count(F.col("fa")[i].bitwiseXOR(F.col("fb")[i])) for i in range(1, WIDE)),
-        F.bit_count(F.col("fa")[0].bitwiseXOR(F.col("fb")[0])),
-    )
-    return pairs.join(left, "a").join(right, "b").where(apart <= limit).select("a", "b")
+    links = verified(pairs.join(left, "a").join(right, "b").where(_apart("fa", "fb") <= limit).select("a", "b"))
+    roots = components(links)
+    rooted = large.select("key", "n", "id").join(roots.withColumnRenamed("node", "id"), "id", "left")
+    rooted = rooted.select("key", "n", "id", F.coalesce("root", "id").alias("root"))
+    split = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    crowded = written(rooted.join(split.select("key"), "key", "left_semi"), "crowded")
+    if crowded.isEmpty():
+        return roots
+    more = verified(_crowded_links(crowded.join(prints.select("id", "fp"), "id"), limit))
+    return components(links.select("a", "b").union(more.select("a", "b")))
 
 
 def _sets(texts: DataFrame, shingle: int) -> DataFrame:
@@ -275,7 +320,7 @@ def representatives(docs: DataFrame, similarity: float = SIMILARITY, shingle: in
         texts = small.select("_row", "text").join(asked, "_row").dropDuplicates(["id"])
         return written(similar(pairs, written(_sets(texts, shingle), "sets"), similarity), "similar")
 
-    roots = components(verified(wide_links(prints, differing_bits(similarity, 64 * WIDE))))
+    roots = wide_components(prints.select("id", "fp"), differing_bits(similarity, 64 * WIDE), verified)
     place = F.struct(F.col("doc_id").isNull(), "doc_id", "_row")
     best = rows.groupBy("id").agg(F.min(place).alias("best"))
     best = best.join(roots.withColumnRenamed("node", "id"), "id", "left")
