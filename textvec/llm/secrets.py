@@ -2,7 +2,8 @@
 
 A text is layer zero. Every layer is searched for the three kinds of secrets and for encoded parts:
 URL escapes and Unicode escapes are undone over the whole layer, base64 runs (and what they hold in
-compressed form) become layers of their own. New layers join the worklist until none is left; a
+compressed form, all members of it) become layers of their own, of one line and, where lines of one
+length follow each other, of all of them. Bytes that are no UTF-8 are read as UTF-16 or Latin-1. New layers join the worklist until none is left; a
 layer whose text was already searched at the same place is not searched again, so cycles end. Each
 layer remembers from which characters of the text its characters come, so a secret found at any
 depth is reported as a span of the text.
@@ -17,7 +18,9 @@ import hashlib
 import lzma
 import re
 import zlib
+from bisect import bisect_right
 from collections import deque
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -41,6 +44,10 @@ ESCAPE = re.compile(
     r"|\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};"
 )
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
+WRAPPED = re.compile(
+    r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}(?:[\x20\t]*\r?\n[\x20\t]*[A-Za-z0-9+/_-]+)+={0,2}"
+)
+PIECE = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
 URL_SAFE = str.maketrans("-_", "+/")
 
 
@@ -116,31 +123,49 @@ def _replaced(layer: Layer, pattern: re.Pattern, decode) -> Layer | None:
 
 
 def _unpacked(data: bytes) -> bytes | None:
-    """The content of gzip, zlib, bzip2 or xz data; a truncated stream yields what it holds."""
-    try:
-        if data[:2] == b"\x1f\x8b":
-            return zlib.decompressobj(31).decompress(data)
-        if data[:1] == b"\x78" and len(data) > 2 and int.from_bytes(data[:2], "big") % 31 == 0:
-            return zlib.decompressobj().decompress(data)
-        if data[:3] == b"BZh":
-            return bz2.BZ2Decompressor().decompress(data)
-        if data[:6] == b"\xfd7zXZ\x00":
-            return lzma.LZMADecompressor().decompress(data)
-    except (zlib.error, OSError, lzma.LZMAError, EOFError):
-        pass
-    return None
-
-
-def _readable(data: bytes) -> str | None:
-    """The text of UTF-8 bytes without control characters, else nothing."""
-    try:
-        text = data.decode()
-    except UnicodeDecodeError:
-        return None
-    return text if text and not re.search(r"[\x00-\x08\x0e-\x1f\x7f]", text) else None
-
+    """The content of all members of gzip, zlib, bzip2 or xz data and what follows them, else nothing.
 
-def _from_base64(run: str) -> str | None:
+    A truncated stream yields what it holds.
+    """
+    parts = []
+    while data:
+        try:
+            if data[:2] == b"\x1f\x8b":
+                reader = zlib.decompressobj(31)
+            elif data[:1] == b"\x78" and len(data) > 2 and int.from_bytes(data[:2], "big") % 31 == 0:
+                reader = zlib.decompressobj()
+            elif data[:3] == b"BZh":
+                reader = bz2.BZ2Decompressor()
+            elif data[:6] == b"\xfd7zXZ\x00":
+                reader = lzma.LZMADecompressor()
+            else:
+                break
+            content = reader.decompress(data)
+        except (zlib.error, OSError, lzma.LZMAError, EOFError):
+            break
+        parts.append(content)
+        data = reader.unused_data.lstrip(b"\0")  # members may be padded
+    return b"".join([*parts, data]) if parts else None
+
+
+def _readable(data: bytes) -> tuple[str, str]:
+    """The text of bytes and its encoding: UTF-8, else UTF-16 where marked or every other byte is zero, else Latin-1."""
+    zeros = data.count(0) * 3 > len(data)
+    encodings = ["utf-8", "latin-1"]
+    if data[:2] in (b"\xff\xfe", b"\xfe\xff"):
+        encodings = ["utf-16", "latin-1"]
+    elif zeros:
+        encodings = ["utf-16-le" if data[1::2].count(0) > data[::2].count(0) else "utf-16-be", "latin-1"]
+    for encoding in encodings:
+        try:
+            return data[: len(data) // 2 * 2 if encoding.startswith("utf-16") else None].decode(encoding), encoding
+        except UnicodeDecodeError:
+            pass
+    raise AssertionError("every byte is Latin-1")
+
+
+def _from_base64(run: str) -> tuple[bytes, bool] | None:
+    """The bytes of a run, unpacked, and whether they were packed."""
     body = run.rstrip("=")
     if len(body) % 4 == 1:
         return None
@@ -148,12 +173,52 @@ def _from_base64(run: str) -> str | None:
         data = base64.b64decode(body.translate(URL_SAFE) + "=" * (-len(body) % 4), validate=True)
     except (binascii.Error, ValueError):
         return None
+    packed = False
     for _ in range(len(data)):
         inner = _unpacked(data)
         if inner is None:
             break
-        data = inner
-    return _readable(data)
+        data, packed = inner, True
+    return data, packed
+
+
+def _wrapped(text: str):
+    """The pieces, as spans, of what may be one base64 run wrapped into lines.
+
+    Lines of one length belong together, with a shorter one after them and the end of a line before them.
+    """
+    for chain in WRAPPED.finditer(text):
+        pieces = [m.span() for m in PIECE.finditer(text, *chain.span())]
+        sizes = [high - low for low, high in pieces]
+        first = 0
+        while first < len(pieces):
+            last = first + 1
+            while last < len(pieces) and sizes[last] == sizes[first]:
+                last += 1
+            lasts = [last, last + 1] if last < len(pieces) and sizes[last] < sizes[first] else [last]
+            for low in (first, first - 1) if first else (first,):
+                yield from (pieces[low:high] for high in lasts if high - low > 1)
+            first = last
+
+
+def _joined_layer(layer: Layer, pieces: list[tuple[int, int]]) -> Layer | None:
+    """The layer that wrapped pieces hold; a character stands for the pieces that it comes from, packed ones for all."""
+    content = _from_base64("".join(layer.text[low:high] for low, high in pieces))
+    if content is None or not content[0]:
+        return None
+    text, encoding = _readable(content[0])
+    spans = [(low, high) if layer.starts is None else layer.span(low, high) for low, high in pieces]
+    if content[1] or isinstance(layer.starts, int):
+        return Layer(text, spans[0][0], spans[-1][1], layer.depth + 1)
+    ends = list(accumulate(high - low for low, high in pieces))
+    at, starts, stops = 2 if encoding == "utf-16" else 0, [], []
+    encoding = "utf-16-le" if encoding == "utf-16" else encoding
+    for character in text:
+        size = 1 if character.isascii() and encoding in ("utf-8", "latin-1") else len(character.encode(encoding))
+        starts.append(spans[min(bisect_right(ends, at * 8 // 6), len(spans) - 1)][0])
+        at += size
+        stops.append(spans[min(bisect_right(ends, (at * 8 - 1) // 6), len(spans) - 1)][1])
+    return Layer(text, starts, stops, layer.depth + 1)
 
 
 def all_spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
@@ -188,9 +253,12 @@ def _next_layers(layer: Layer):
         yield new
     for match in BASE64.finditer(text):
         content = _from_base64(match[0])
-        if content:
+        if content and content[0]:
             low, high = match.span() if layer.starts is None else layer.span(*match.span())
-            yield Layer(content, low, high, layer.depth + 1)
+            yield Layer(_readable(content[0])[0], low, high, layer.depth + 1)
+    for pieces in _wrapped(text):
+        if new := _joined_layer(layer, pieces):
+            yield new
 
 
 def _joined(spans) -> str:
