@@ -4,7 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textvec.llm import chat, decontaminate, knn_quality, line_dedup, packing, parsing, ppm, quality_rules, secrets, simhash
+from textvec.llm import (
+    chat,
+    decontaminate,
+    knn_quality,
+    line_dedup,
+    packing,
+    parsing,
+    periodic,
+    ppm,
+    quality_rules,
+    secrets,
+    simhash,
+)
 from textvec.llm.common import table
 
 
@@ -46,3 +58,7 @@ def op9_min_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_recursive_splitting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.report(table(spark, sf_dir, "documents"), periodic.words_with_planted_tail)
