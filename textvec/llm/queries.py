@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from textvec.llm import (
     chat,
+    cover_tree,
     decontaminate,
     knn_quality,
     line_dedup,
@@ -62,3 +63,8 @@ def op10_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op12_recursive_splitting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.report(table(spark, sf_dir, "documents"), periodic.words_with_planted_tail)
+
+
+def op13_cover_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return cover_tree.top_products(vectors.where("vec_id % 100 = 0"), vectors)
