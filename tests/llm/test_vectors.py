@@ -9,8 +9,8 @@ import duckdb
 import numpy as np
 import pytest
 
-from textvec.llm import cover_tree, int_vectors
-from textvec.llm.queries import op13_cover_tree_search
+from textvec.llm import angular, cover_tree, int_vectors
+from textvec.llm.queries import op11_angular_negatives, op13_cover_tree_search
 
 SCHEMA = (
     "vec_id bigint, embedding array<float>, label int, row string, cell string, distance int, score string, block int"
@@ -131,3 +131,69 @@ def same_as_sql(spark, query, oracle, sf_dir="/root/testdata/sf0.001"):
 
 def test_top_products_query(spark):
     assert same_as_sql(spark, op13_cover_tree_search, cover_tree.ORACLE) == 50
+
+
+def plain_negatives(rows, n_positives, n_negatives, low, high, scale, is_anchor=lambda key: key % 10 == 0):
+    rows = [row for row in usable(rows, scale) if row[2] is not None]
+    out = []
+    for key, vector, label in rows:
+        if is_anchor(key):
+            scored = sorted((-dot(vector, other), i, other_label) for i, other, other_label in rows if i != key)
+            for p, positive, _ in [x for x in scored if x[2] == label][:n_positives]:
+                fitting = [x for x in scored if x[2] != label and low * -p <= 100 * -x[0] <= high * -p]
+                out += [(key, positive, r + 1, i, -p, -s) for r, (s, i, _) in enumerate(fitting[:n_negatives])]
+    return sorted(out)
+
+
+def test_intervals_hold_the_products():
+    rows = list(usable(random_rows(7), 64))
+    vectors = np.array([v for _, v, _ in rows], dtype=float)
+    size = int_vectors.lengths(vectors)
+    directions = angular.references(vectors[:100])
+    angles = angular.angles_to(directions, vectors, size)
+    least, greatest = angular.score_intervals(angles, size, angles, angles, size, size)
+    scores = vectors @ vectors.T
+    assert (least <= scores).all() and (scores <= greatest).all()
+    assert (greatest - least).mean() < 0.7 * 2 * (size[:, None] * size).mean()  # and they tell something
+    low, high = (np.quantile(angles[:50], q, axis=0)[None] for q in (0, 1))
+    least, greatest = angular.score_intervals(angles, size, low, high, size[:50].min()[None], size[:50].max()[None])
+    assert (least <= scores[:, :50]).all() and (scores[:, :50] <= greatest).all()
+
+
+def test_windows_are_exact():
+    begin, end = angular.score_windows([100, 7, 0, -10, 2**63 - 1], 30, 90)
+    assert begin.tolist() == [30, 3, 0, -3, -(-30 * (2**63 - 1) // 100)]
+    assert end.tolist() == [90, 6, 0, -9, 90 * (2**63 - 1) // 100]
+
+
+@pytest.mark.parametrize(("seed", "block_rows", "group_rows", "tile"), [(3, 40, 8, 64), (4, 1000, 512, 1 << 20)])
+def test_hard_negatives(spark, monkeypatch, seed, block_rows, group_rows, tile):
+    monkeypatch.setattr(angular, "TILE", tile)
+    rows = random_rows(seed)
+    table = frame(spark, rows)
+    found = angular.hard_negatives(table.where("vec_id % 10 = 0"), table, 3, 4, 30, 90, 64, block_rows, group_rows)
+    assert sorted(map(tuple, found.collect())) == plain_negatives(rows, 3, 4, 30, 90, 64)
+
+
+def test_hard_negatives_of_odd_rows(spark):
+    rows = [row for row in ODD if row[0] != 60] + [(60, [1.0, 2.0], 1), (62, [0.9, 2.0], 1), (63, [0.5, 0.5], -3)]
+    table = frame(spark, rows)
+    found = angular.hard_negatives(table.where("vec_id % 10 = 0"), table)
+    assert sorted(map(tuple, found.collect())) == plain_negatives(rows, 5, 10, 30, 90, 256)
+    repeated = frame(spark, [(10, [1.0, 1.0], 1), (11, [1.0, 0.5], 1), (11, [1.0, 0.5], 1), (12, [0.5, 0.5], 2), (12, [0.5, 0.5], 2)])
+    found = angular.hard_negatives(repeated.where("vec_id = 10"), repeated)
+    assert sorted((r["positive_id"], r["rank"], r["negative_id"]) for r in found.collect()) == sorted(
+        [(11, rank, 12) for rank in (1, 2)] * 2
+    )
+
+
+def test_hard_negatives_of_empty_tables(spark):
+    table, none = frame(spark, ODD), frame(spark, [])
+    assert angular.hard_negatives(none, table).collect() == []
+    assert angular.hard_negatives(table, none).collect() == []
+    alone = table.where("vec_id = 61")
+    assert angular.hard_negatives(alone, alone).collect() == []
+
+
+def test_hard_negatives_query(spark):
+    assert same_as_sql(spark, op11_angular_negatives, angular.ORACLE) > 100
