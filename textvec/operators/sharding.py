@@ -8,7 +8,7 @@ numbered in the order in which they close, the group left open at the end being
 
 from __future__ import annotations
 
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 
 import numpy as np
 import pyarrow as pa
@@ -40,23 +40,87 @@ def _closers(ends: np.ndarray, limit: int, base: int) -> np.ndarray:
     return np.array(found, dtype=np.int64)
 
 
-def _exits(chunks: DataFrame, order: str, limit: int, starts: dict[int, int]) -> DataFrame:
+def _bands(ends: list[int], largest: list[int], limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """Intervals (low, high] of bytes that hold the ends of all groups, for chunks that end at ``ends``.
+
+    The k-th group ends one limit after the one before, and at most one document later; how large that
+    is its chunk tells. Once intervals meet, all that follows counts."""
+    lows, highs, low, high = [], [], 0, 0
+    while (first := bisect_right(ends, low + limit)) < len(ends):
+        last = min(bisect_right(ends, high + limit), len(ends) - 1)
+        low, before = low + limit, high
+        high += limit + max(largest[first : last + 1])
+        if low < before:
+            low, high = before, ends[-1]
+        lows.append(low)
+        highs.append(high)
+        if high >= ends[-1]:
+            break
+    return np.array(lows, dtype=np.int64), np.array(highs, dtype=np.int64)
+
+
+def _exits(
+    chunks: DataFrame, order: str, limit: int, starts: dict[int, int], ends: list[int], bands: tuple[np.ndarray, np.ndarray]
+) -> DataFrame:
     """For every row that could be a chunk's first closing one (``entry``), the chunk's last closing
-    one (``exit``), both as the bytes up to and including the row."""
+    one (``exit``), both as the bytes up to and including the row, and the chunk in which the next
+    group closes (``onward``, null for none). Only rows inside the bands can close a group."""
+    numbers = np.array(list(starts))
 
     def follow(key: tuple, table: pa.Table) -> pa.Table:
         start = starts[key[0].as_py()]
-        ends = start + np.cumsum(table.sort_by(order)["packed"].to_numpy())
+        own = start + np.cumsum(table.sort_by(order)["packed"].to_numpy())
         # a group open at the start has begun at or before it
-        entries = np.unique(ends[: np.searchsorted(ends, start + limit, side="right") + 1])
-        after = np.append(np.searchsorted(ends, ends + limit, side="right"), len(ends))
-        last = np.searchsorted(ends, entries)
-        while (moving := after[last] < len(ends)).any():
+        entries = np.unique(own[: np.searchsorted(own, start + limit, side="right") + 1])
+        band = np.searchsorted(bands[1], entries)
+        inside = band < len(bands[1])
+        inside[inside] = bands[0][band[inside]] < entries[inside]
+        entries = entries[inside]
+        after = np.append(np.searchsorted(own, own + limit, side="right"), len(own))
+        last = np.searchsorted(own, entries)
+        while (moving := after[last] < len(own)).any():
             last = np.where(moving, after[last], last)
-        return pa.table({"chunk": pa.array([key[0].as_py()] * len(entries), pa.int32()),
-                         "entry": entries, "exit": ends[last]})
+        onward = np.searchsorted(ends, own[last] + limit, side="right")
+        found = onward < len(ends)
+        return pa.table({
+            "chunk": pa.array([key[0].as_py()] * len(entries), pa.int32()),
+            "entry": entries,
+            "exit": own[last],
+            "onward": pa.array(numbers[np.where(found, onward, 0)].astype(np.int32), mask=~found),
+        })
+
+    return chunks.groupBy("chunk").applyInArrow(follow, "chunk int, entry bigint, exit bigint, onward int")
+
+
+def _next_entries(exits: DataFrame, limit: int) -> DataFrame:
+    """``entry, next``: the row that closes the first group of a later chunk after the groups that
+    begin to close with ``entry`` in its chunk."""
 
-    return chunks.groupBy("chunk").applyInArrow(follow, "chunk int, entry bigint, exit bigint")
+    def look(left: pa.Table, right: pa.Table) -> pa.Table:
+        entries = np.sort(right["entry"].to_numpy())
+        at = np.searchsorted(entries, left["exit"].to_numpy() + limit, side="right")
+        # an entry that the bands let pass, but nothing leads to, may lead nowhere
+        found = at < len(entries)
+        return pa.table({"entry": left["entry"].filter(pa.array(found)), "next": entries[at[found]]})
+
+    leaving = exits.where("onward is not null").select("onward", "entry", "exit")
+    arriving = exits.select(F.col("chunk").alias("to"), F.col("entry"))
+    return leaving.groupBy("onward").cogroup(arriving.groupBy("to")).applyInArrow(look, "entry bigint, next bigint")
+
+
+def _reached(jumps: DataFrame, first: int, steps: int) -> list[int]:
+    """The entries that follow each other from ``first`` on, at most one for each chunk.
+
+    By pointer jumping: in every round the known beginning of the path doubles, as do the jumps, so it
+    takes two joins for each binary digit of ``steps``."""
+    reached = jumps.sparkSession.createDataFrame([(first,)], "entry bigint")
+    for left in range(steps.bit_length() - 1, -1, -1):
+        onward = reached.join(jumps, "entry").select(F.col("next").alias("entry"))
+        reached = written(reached.unionByName(onward), "entries")
+        if left:
+            further = jumps.select(F.col("entry").alias("next"), F.col("next").alias("beyond"))
+            jumps = written(jumps.join(further, "next").select("entry", F.col("beyond").alias("next")), "jumps")
+    return [row[0] for row in reached.collect()]
 
 
 def _closing_rows(
@@ -86,10 +150,10 @@ def shard_column(
 
     Where a group closes depends on where the one before closed. To keep that chain short, keys and
     sizes are cut by range into chunks of about ``chunk_rows``, and all chunks work out at once where
-    they would be left for every row that may close first in them. The driver then steps from chunk
-    to chunk, one lookup each, skipping chunks in which no group closes: at most
-    min(n_shards, chunks) lookups. Knowing how each chunk is entered, all chunks list their closing
-    documents at once.
+    they would be left for every row that may close first in them, and which row of a later chunk
+    closes next. The path through these rows is then followed by pointer jumping, in a number of jobs
+    that grows with the logarithm of the number of chunks only. Knowing how each chunk is entered, all
+    chunks list their closing documents at once.
 
     Fewer than ``n_shards`` documents end a shard (each such shard has more than its n-th part of
     the bytes), and these are all that is needed: a document is big and its own shard, or belongs to
@@ -112,22 +176,25 @@ def shard_column(
         partition_by=["chunk"],
     )
     packed = table.select("chunk", order, "packed")
-    starts, ends, total = {}, [], 0  # one entry per chunk
-    for row in table.groupBy("chunk").agg(F.sum("packed").alias("bytes")).orderBy("chunk").collect():
+    starts, ends, largest, total = {}, [], [], 0  # one entry per chunk
+    sums = table.groupBy("chunk").agg(F.sum("packed").alias("bytes"), F.max("packed").alias("largest"))
+    for row in sums.orderBy("chunk").collect():
         starts[row["chunk"]] = total
         total += row["bytes"]
         ends.append(total)
-
-    numbers, bases, base = list(starts), {}, 0
-    exits = None
-    while (at := bisect_right(ends, base + limit)) < len(ends):
-        bases[numbers[at]] = base
-        if at + 1 == len(ends):
-            break
-        if exits is None:
-            exits = written(_exits(packed, order, limit, starts), "shard_exits", partition_by=["chunk"])
-        entered = (F.col("chunk") == numbers[at]) & (F.col("entry") > base + limit)
-        base = exits.where(entered).agg(F.min_by("exit", "entry")).first()[0]
+        largest.append(row["largest"])
+
+    numbers, bases = list(starts), {}
+    first = bisect_right(ends, limit)  # the chunk in which the first group closes
+    if first < len(ends):
+        bases[numbers[first]] = 0
+    if first + 1 < len(ends):
+        bands = _bands(ends, largest, limit)
+        exits = written(_exits(packed, order, limit, starts, ends, bands), "shard_exits", partition_by=["chunk"])
+        begin = exits.where((F.col("chunk") == numbers[first]) & (F.col("entry") > limit)).agg(F.min("entry")).first()[0]
+        jumps = written(_next_entries(exits, limit), "jumps")
+        for entry in _reached(jumps, begin, min(n_shards, len(ends) - first)):
+            bases[numbers[bisect_left(ends, entry)]] = entry - limit - 1
 
     closers = []  # fewer than n_shards keys
     if bases:
