@@ -267,9 +267,11 @@ def jon_closest_blocks(spark, sf_dir):
 
 
 def jon_lookup(spark, sf_dir):
+    """The plan for few queries against a table beyond the broadcast limit: the table stays in place."""
     source = _vectors(spark, sf_dir)
     queries = source.select(F.concat(F.lit("q"), "word").alias("word"), F.reverse("vector").alias("vector"))
-    return nearest.lookup_closest(queries, source)
+    params = NearestParams(broadcast_bytes=0, lookup_bytes=64 << 20)
+    return nearest.lookup_closest(queries, source, params=params)
 
 
 # -- aggregations ----------------------------------------------------------------------------------
