@@ -138,13 +138,23 @@ def _bounds(a, a_norm, a_radius, b, b_norm, b_radius) -> np.ndarray:
         return np.where(np.isnan(bound), np.inf, bound)
 
 
-def search(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, row_ids: np.ndarray, best: Best) -> None:
+class RowTree(CoverTree):
+    """The tree of a block, with its vectors and ids in the order of the tree."""
+
+    def __init__(self, block: pa.Table):
+        vectors = matrix(block["vector"])
+        super().__init__(vectors, ROW_LEAF)
+        self.vectors, self.ids = vectors[self.order], block["vec_id"].to_numpy()[self.order]
+        self.lengths = lengths(self.vectors)
+
+
+def search(queries: np.ndarray, query_ids: np.ndarray, r: RowTree, best: Best) -> None:
     """Offer ``best`` all rows that can be among the best of a query. A row with the query's id does not count."""
-    if not len(queries) or not len(rows):
+    if not len(queries) or not len(r.order):
         return
-    q, r = CoverTree(queries, QUERY_LEAF), CoverTree(rows, ROW_LEAF)
-    # queries are renumbered inside the tree; needed and found stay with the caller's numbers
-    rows, row_ids, row_lengths = rows[r.order], row_ids[r.order], lengths(rows)[r.order]
+    q = CoverTree(queries, QUERY_LEAF)
+    rows, row_ids, row_lengths = r.vectors, r.ids, r.lengths
+    # queries are renumbered inside their tree; needed and found stay with the caller's numbers
     query_lengths = lengths(queries)
 
     def worst(node: int) -> int:
@@ -251,29 +261,29 @@ def top_products(
     def first_visit(block: pa.Table, visitors: pa.Table) -> pa.Table:
         """What a group finds in its first block, the k-th scores, and the cells it has to visit."""
         out = []
-        vectors, ids = matrix(block["vector"]), block["vec_id"].to_numpy()
+        tree = RowTree(block)
         for group, data, seen in zip(*(visitors[c].to_pylist() for c in ("group", "packed", "block")), strict=True):
             query = unpacked(data)
             q = matrix(query["vector"])
             best = Best(len(q), k)
-            search(q, query["vec_id"].to_numpy(), vectors, ids, best)
+            search(q, query["vec_id"].to_numpy(), tree, best)
             query = query.append_column("needed", pa.array(best.needed))
             wanted = np.zeros(len(usable), dtype=bool)
-            tree = CoverTree(q, QUERY_LEAF)
-            for a in tree.leaves():
-                bound = _bounds(tree.centres[a], tree.norms[a], tree.radii[a], centres[usable], norms[usable], radii[usable])
-                wanted |= ~(bound < best.needed[tree.order[tree.low[a] : tree.high[a]]].min())
+            own = CoverTree(q, QUERY_LEAF)
+            for a in own.leaves():
+                bound = _bounds(own.centres[a], own.norms[a], own.radii[a], centres[usable], norms[usable], radii[usable])
+                wanted |= ~(bound < best.needed[own.order[own.low[a] : own.high[a]]].min())
             out.append((group, seen, packed(query), usable[wanted].tolist(), _answer(query, best)))
         return _table(out, first_schema)
 
     def visit(block: pa.Table, visitors: pa.Table) -> pa.Table:
         out = []
-        vectors, ids = matrix(block["vector"]), block["vec_id"].to_numpy()
+        tree = RowTree(block)
         for data in visitors["packed"].to_pylist():
             query = unpacked(data)
             q = matrix(query["vector"])
             best = Best(len(q), k, query["needed"].to_numpy())
-            search(q, query["vec_id"].to_numpy(), vectors, ids, best)
+            search(q, query["vec_id"].to_numpy(), tree, best)
             out.append((_answer(query, best),))
         return _table(out, pa.schema([first_schema.field("found")]))
 
