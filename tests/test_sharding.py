@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from textvec.operators import layout
 from textvec.operators.sharding import assign_shards, shard_limit
 from textvec.plans.pipeline import shard_directory
 from textvec.plans.stages import shard_documents
@@ -119,15 +120,12 @@ def test_no_documents_and_missing_sizes(spark):
     assert assign_shards(documents.where("doc > 'x'"), 2).collect() == []
 
 
-def test_document_shards_in_order(spark, tmp_path):
+def test_document_shards_in_order(spark, tmp_path, monkeypatch):
     """Members of a shard come last first, each with its lines in order, over several files."""
     texts = [(d, "\n".join(f"{d}:{n}" for n in range(d % 7 + 1))) for d in range(200)]
     documents = spark.createDataFrame(texts, "doc bigint, text string").repartition(3)
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
-    try:
-        write_document_shards(shard_documents(documents, 3), str(tmp_path / "out"))
-    finally:
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    monkeypatch.setattr(layout, "LEAST_BYTES", 500)
+    write_document_shards(shard_documents(documents, 3), str(tmp_path / "out"))
     rows = read_lines(spark, str(tmp_path / "out"), group=("shard",), across_files=True).collect()
     shards = _packed([len(text) for _, text in texts], 3)
     for shard in set(shards):
