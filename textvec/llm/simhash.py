@@ -15,8 +15,6 @@ That is exact too, and grows with the members, not with their pairs.
 
 from __future__ import annotations
 
-import math
-from collections.abc import Callable
 from itertools import repeat
 
 import numpy as np
@@ -31,7 +29,6 @@ from textvec.workspace import written
 
 BUCKET = 64
 SEGMENTS = ((0, 22), (22, 21), (43, 21))  # first bit and width
-GOLDEN = 0x9E3779B97F4A7C15
 
 
 def shingle_hashes(text: bytes, size: int, seed: int = 42) -> np.ndarray:
@@ -54,36 +51,20 @@ def majority(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(counts * 2 > len(hashes), bitorder="little")
 
 
-def _mixed(hashes: np.ndarray, k: int) -> np.ndarray:
-    """The k-th hash derived from each hash; the zeroth is itself."""
-    if not k:
-        return hashes
-    x = hashes + np.uint64(GOLDEN * k % (1 << 64))
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+def fingerprints(docs: DataFrame, keep: list[str], shingle: int = 3) -> DataFrame:
+    """The columns ``keep`` and ``fp``, the fingerprint of the text as a signed 64-bit number.
 
-
-def fingerprints(docs: DataFrame, keep: list[str], shingle: int = 3, words: int = 1) -> DataFrame:
-    """The columns ``keep`` and ``fp``, the fingerprint of the text as ``words`` signed 64-bit numbers.
-
-    A text of fewer words than a shingle is one shingle; one without words, or null, has zeros. Wide
-    fingerprints count a repeated shingle once.
+    A text of fewer words than a shingle is one shingle; one without words, or null, has zero.
     """
 
     def hashed(batch: pa.RecordBatch):
-        rows = []
-        for text in batch.column("_text").cast(pa.binary()):
-            hashes = shingle_hashes(text.as_py(), shingle)
-            hashes = np.unique(hashes) if words > 1 else hashes
-            rows.append(np.concatenate([majority(_mixed(hashes, k)) for k in range(words)]).view("<i8").tolist())
-        yield pa.RecordBatch.from_arrays(
-            [*(batch.column(c) for c in keep), pa.array(rows, pa.list_(pa.int64()))], [*keep, "fp"]
-        )
+        texts = batch.column("_text").cast(pa.binary())
+        prints = np.concatenate([majority(shingle_hashes(text.as_py(), shingle)) for text in texts]).view("<i8")
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(prints)], [*keep, "fp"])
 
     source = docs.select(*keep, text_column().alias("_text"))
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
-    return map_batches(source, hashed, f"{fields}, fp array<bigint>")
+    return map_batches(source, hashed, f"{fields}, fp bigint")
 
 
 def _bits(fp: str, first: int, width: int) -> Column:
@@ -152,8 +133,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, limit: int = 2) -> DataFr
     equal rows; an empty table gives none; further columns are ignored.
     """
     source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    prints = fingerprints(source, ["doc_id"], shingle).select("doc_id", F.col("fp")[0].alias("fp"))
-    prints = written(prints, "fingerprints")
+    prints = written(fingerprints(source, ["doc_id"], shingle), "fingerprints")
     first = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
     roots = components(links(prints, limit))
     rooted = first.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
@@ -166,164 +146,22 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, limit: int = 2) -> DataFr
     )
 
 
-# Near-duplicates on shingles at a given similarity: wide fingerprints of five-word shingles.
-WIDE, KEYS, KEY_BITS = 16, 96, 24
-SLICE = 1024
-SIMILARITY = 0.8
-
-
-def differing_bits(similarity: float, bits: int) -> int:
-    """How many of ``bits`` differ at most between texts whose shingle sets have this Jaccard similarity.
-
-    Sets of like size with similarity j have the cosine 2j / (1 + j), and a bit differs with the
-    probability of the angle over pi. That is the mean; four standard deviations are added, as the bits
-    only find candidates.
-    """
-    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return round(bits * share + 4 * math.sqrt(bits * share * (1 - share)))
-
-
-def _wide_keys(prints: DataFrame) -> DataFrame:
-    """``id, key``: ``KEY_BITS`` bits from each of ``KEYS`` places of the ring of bits."""
-
-    def cut(batch: pa.RecordBatch):
-        words = batch.column("fp").flatten().to_numpy().reshape(-1, WIDE)
-        bits = np.unpackbits(np.ascontiguousarray(words).view(np.uint8), axis=1, bitorder="little")
-        n = bits.shape[1]
-        weight = 1 << np.arange(KEY_BITS, dtype=np.int64)
-        ids = batch.column("id")
-        for i in range(KEYS):
-            at = (i * n // KEYS + np.arange(KEY_BITS)) % n
-            keys = bits[:, at] @ weight + (i << KEY_BITS)
-            yield pa.RecordBatch.from_arrays([ids, pa.array(keys)], ["id", "key"])
-
-    return map_batches(prints.select("id", "fp"), cut, "id bigint, key bigint")
-
-
-def _apart(a: str, b: str) -> Column:
-    return sum(
-        (F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(1, WIDE)),
-        F.bit_count(F.col(a)[0].bitwiseXOR(F.col(b)[0])),
-    )
-
-
-def _crowded_links(crowded: DataFrame, limit: int) -> DataFrame:
-    """``a, b`` of unlike ``root`` that share a key and differ in at most ``limit`` bits.
+def representatives(docs: DataFrame, shingle: int = 3, limit: int = 2) -> DataFrame:
+    """The rows and columns of ``docs`` without near-duplicates: of each component of ``near_duplicates``
+    the row with the smallest ``doc_id``.
 
-    ``crowded`` has ``key, n, id, root, fp``. A bucket is cut into slices of about ``SLICE`` members, and every two
-    slices (and each with itself) meet in one task, which sends only the pairs that are near.
-    """
-    slices = F.ceil(F.col("n") / SLICE).cast("bigint")
-    own = crowded.withColumn("slice", F.pmod(F.xxhash64("id"), slices))
-    meets = own.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), slices - 1)))
-    meets = meets.select(
-        "key", F.least("slice", "other").alias("i"), F.greatest("slice", "other").alias("j"), "slice", "id", "root", "fp"
-    )
-
-    def compare(block: pa.Table) -> pa.Table:
-        i, j = block.column("i")[0].as_py(), block.column("j")[0].as_py()
-        part, ids, roots = (block.column(c).to_numpy() for c in ("slice", "id", "root"))
-        words = block.column("fp").combine_chunks().flatten().to_numpy().reshape(-1, WIDE).view(np.uint64)
-        left, right = np.flatnonzero(part == i), np.flatnonzero(part == j)
-        found = []
-        for at in left.tolist():
-            mine = right[(roots[right] != roots[at]) & ((ids[right] > ids[at]) | (i != j))]
-            apart = np.bitwise_count(words[mine] ^ words[at]).sum(axis=1, dtype=np.int64)
-            found += [(ids[at], ids[k]) for k in mine[apart <= limit].tolist()]
-        pairs = np.array(found, np.int64).reshape(-1, 2)
-        low, high = np.minimum(pairs[:, 0], pairs[:, 1]), np.maximum(pairs[:, 0], pairs[:, 1])
-        return pa.table({"a": low, "b": high})
-
-    return meets.groupBy("key", "i", "j").applyInArrow(compare, "a bigint, b bigint").distinct()
-
-
-def wide_components(prints: DataFrame, limit: int, verified: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """``node, root`` over distinct wide fingerprints ``id, fp`` that differ in at most ``limit`` bits and are ``verified``.
-
-    Candidates share ``KEY_BITS`` bits at one place of the ring, the start of a chain without a difference.
-    That finds a pair with a probability that grows with its similarity (README). In buckets of more than
-    ``BUCKET`` members each meets four of them first, which links large groups of like texts; then all
-    pairs that are not linked yet are compared, in slices.
-    """
-    prints = written(prints, "prints")
-    members = written(_wide_keys(prints), "members")
-    spread = [F.xxhash64(F.lit(i), "id") for i in range(2)]
-    least = [F.min_by("id", x) for x in spread] + [F.max_by("id", x) for x in spread]
-    sizes = members.groupBy("key").agg(F.count("id").alias("n"), F.array(*least).alias("some")).where("n > 1")
-    kept = members.join(sizes, "key")
-    small = kept.where(F.col("n") <= BUCKET)
-    one, two = (small.select("key", F.col("id").alias(name)) for name in "ab")
-    pairs = one.join(two, "key").where("a < b").select("a", "b")
-    large = kept.where(F.col("n") > BUCKET)
-    some = large.select("id", F.explode("some").alias("other")).where("id <> other")
-    pairs = pairs.union(some.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"))).distinct()
-    left = prints.select(F.col("id").alias("a"), F.col("fp").alias("fa"))
-    right = prints.select(F.col("id").alias("b"), F.col("fp").alias("fb"))
-    links = verified(pairs.join(left, "a").join(right, "b").where(_apart("fa", "fb") <= limit).select("a", "b"))
-    roots = components(links)
-    rooted = large.select("key", "n", "id").join(roots.withColumnRenamed("node", "id"), "id", "left")
-    rooted = rooted.select("key", "n", "id", F.coalesce("root", "id").alias("root"))
-    split = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-    crowded = written(rooted.join(split.select("key"), "key", "left_semi"), "crowded")
-    if crowded.isEmpty():
-        return roots
-    more = verified(_crowded_links(crowded.join(prints.select("id", "fp"), "id"), limit))
-    return components(links.select("a", "b").union(more.select("a", "b")))
-
-
-def _sets(texts: DataFrame, shingle: int) -> DataFrame:
-    """``id, hashes``: the sorted hashes of the distinct shingles of each text."""
-
-    def hashed(batch: pa.RecordBatch):
-        sets = [np.unique(shingle_hashes(text.as_py(), shingle)) for text in batch.column("text").cast(pa.binary())]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("id"), pa.array([x.tobytes() for x in sets], pa.binary())], ["id", "hashes"]
-        )
-
-    return map_batches(texts.select("id", text_column().alias("text")), hashed, "id bigint, hashes binary")
-
-
-def similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The ``a, b`` of ``pairs`` whose sets have this Jaccard similarity at least."""
-
-    def judge(batch: pa.RecordBatch):
-        near = []
-        for one, two in zip(batch.column("one"), batch.column("two"), strict=True):
-            x, y = (np.frombuffer(side.as_buffer(), np.uint64) for side in (one, two))
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            near.append(both >= similarity * (len(x) + len(y) - both))
-        yield batch.filter(pa.array(near, pa.bool_())).select(["a", "b"])
-
-    one, two = (sets.select(F.col("id").alias(i), F.col("hashes").alias(name)) for i, name in (("a", "one"), ("b", "two")))
-    return map_batches(pairs.join(one, "a").join(two, "b").select("a", "b", "one", "two"), judge, "a bigint, b bigint")
-
-
-def representatives(docs: DataFrame, similarity: float = SIMILARITY, shingle: int = 5) -> DataFrame:
-    """The rows and columns of ``docs`` without near-duplicates: per group the one with the smallest ``doc_id``.
-
-    Texts are near when the sets of their shingles have the Jaccard similarity ``similarity`` at least, which is
-    counted for all pairs that wide fingerprints find; groups are the components. Rows without an id stand after all others, rows with
-    one id are ordered by a hash of the text, and of rows equal in both one stays. Texts without words
-    are alike, so one stays. A null text is empty.
+    Rows without an id stand after all others, rows with one id are ordered by a hash of the text, and
+    of rows equal in both one stays. Texts without words have fingerprint zero, which links like any
+    other. A null text is empty. An empty table gives no rows.
     """
     hidden, inner = masked(docs)
     key, text = F.col(inner["doc_id"]).cast("bigint"), F.col(inner["text"])
     keyed = hidden.withColumn("_row", F.xxhash64(key, text))
     small = keyed.select(key.alias("doc_id"), "_row", text.alias("text"))
-    rows = fingerprints(small, ["doc_id", "_row"], shingle, WIDE).withColumn("id", F.xxhash64("fp"))
-    rows = written(rows, "wide")
-    prints = rows.groupBy("id").agg(F.first("fp").alias("fp"), F.min("_row").alias("_row"))
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        pairs = written(pairs, "near")
-        asked = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(prints.select("id", "_row"), "id")
-        texts = small.select("_row", "text").join(asked, "_row").dropDuplicates(["id"])
-        return written(similar(pairs, written(_sets(texts, shingle), "sets"), similarity), "similar")
-
-    roots = wide_components(prints.select("id", "fp"), differing_bits(similarity, 64 * WIDE), verified)
+    prints = written(fingerprints(small, ["doc_id", "_row"], shingle), "fingerprints")
     place = F.struct(F.col("doc_id").isNull(), "doc_id", "_row")
-    best = rows.groupBy("id").agg(F.min(place).alias("best"))
-    best = best.join(roots.withColumnRenamed("node", "id"), "id", "left")
-    best = best.groupBy(F.coalesce("root", "id").alias("root")).agg(F.min("best").alias("best"))
+    best = prints.groupBy("fp").agg(F.min(place).alias("best"))
+    roots = components(links(prints, limit)).withColumnRenamed("node", "fp")
+    best = best.join(roots, "fp", "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("best").alias("best"))
     kept = keyed.join(best.select(F.col("best._row").alias("_row")), "_row", "left_semi")
     return unmasked(kept.dropDuplicates(["_row"]), inner)
