@@ -12,6 +12,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -91,8 +92,8 @@ def projection(rows: DataFrame, n_terms: int, rank: int, rounds: int = 3, seed:
 
     Randomised SVD: a random block is carried through ``rounds`` power steps of X^T X with a QR
     factorisation after each, and the small Gram matrix of the last block gives the directions. A
-    step is one pass in which tasks return the rows of their share of X^T X B for the terms that they
-    have, so the driver holds the block and its sum whatever the number of tasks.
+    step is one job: tasks send their share of X^T X B in slices of terms, Spark brings the parts of a
+    slice together, and the driver gets the sums, whose size is that of the block.
     """
     rng = np.random.default_rng(seed)
     # single precision throughout: the driver holds a few such blocks
@@ -105,27 +106,49 @@ def projection(rows: DataFrame, n_terms: int, rank: int, rounds: int = 3, seed:
     return (block @ vectors[:, order]).astype(np.float32)
 
 
+NONZEROS = 65_536  # of the sparse rows worked on at a time
+SLICE_TERMS = 4096
+
+
 def _power(rows: DataFrame, block: np.ndarray) -> np.ndarray:
     n_terms, width = block.shape
 
     def share(batches):
-        total = np.zeros((n_terms, width))
+        total = np.zeros((n_terms, width), np.float32)
         for batch in batches:
             terms, weights = batch.column("terms"), batch.column("weights")
             counts = np.diff(terms.offsets.to_numpy())
-            flat = terms.flatten().to_numpy()
-            weight = weights.flatten().to_numpy()[:, None]
-            inner = summed(block[flat] * weight, counts)
-            outer = np.repeat(inner, counts, axis=0) * weight
-            order = np.argsort(flat, kind="stable")
-            used, first = np.unique(flat[order], return_index=True)
-            if len(used):
-                total[used] += np.add.reduceat(outer[order], first, axis=0)
-        used = np.flatnonzero(total.any(axis=1))
-        parts = (used.astype("<i4").tobytes(), total[used].astype("<f4").tobytes())
-        yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in parts], ["terms", "part"])
-
+            flat, weight = terms.flatten().to_numpy(), weights.flatten().to_numpy()[:, None]
+            ends = np.cumsum(counts)
+            cuts = [0, *(np.flatnonzero(np.diff(ends // NONZEROS)) + 1), len(counts)]
+            for low, high in zip(cuts, cuts[1:], strict=False):
+                if low < high:
+                    part = slice(ends[low] - counts[low], ends[high - 1])
+                    _add_share(total, block, counts[low:high], flat[part], weight[part])
+        task = TaskContext.get().partitionId()
+        for first in range(0, n_terms, SLICE_TERMS):
+            part = total[first : first + SLICE_TERMS]
+            if part.any():
+                columns = [pa.array([first // SLICE_TERMS]), pa.array([task], pa.int32()), pa.array([part.tobytes()], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["slice", "task", "part"])
+
+    def added(key: tuple, parts: pa.Table) -> pa.Table:
+        parts = parts.sort_by("task")  # in a fixed order, so that the sum does not depend on their arrival
+        total = sum(np.frombuffer(part.as_buffer(), np.float32).astype(np.float64) for part in parts["part"])
+        return pa.table({"slice": [key[0].as_py()], "part": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
+
+    parts = rows.mapInArrow(share, "slice bigint, task int, part binary").groupBy("slice")
     total = np.zeros((n_terms, width), np.float32)
-    for row in rows.mapInArrow(share, "terms binary, part binary").toLocalIterator():
-        total[np.frombuffer(row["terms"], "<i4")] += np.frombuffer(row["part"], "<f4").reshape(-1, width)
+    for row in parts.applyInArrow(added, "slice bigint, part binary").collect():  # as large as the block
+        part = np.frombuffer(row["part"], np.float32).reshape(-1, width)
+        total[row["slice"] * SLICE_TERMS :][: len(part)] = part
     return total
+
+
+def _add_share(total: np.ndarray, block: np.ndarray, counts: np.ndarray, flat: np.ndarray, weight: np.ndarray) -> None:
+    inner = summed(block[flat] * weight, counts)
+    outer = np.repeat(inner, counts, axis=0) * weight
+    order = np.argsort(flat, kind="stable")
+    used, first = np.unique(flat[order], return_index=True)
+    if len(used):
+        total[used] += np.add.reduceat(outer[order], first, axis=0)
