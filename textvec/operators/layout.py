@@ -166,9 +166,13 @@ def lines_in_order(lines: DataFrame, sizes: DataFrame | None = None) -> DataFram
     return in_order(lines, sizes, "doc", "shard", "line_no")
 
 
-def words_in_order(words: DataFrame, row_bytes: int = 64) -> DataFrame:
+def words_in_order(words: DataFrame, row_bytes: int = 64, constant: str | None = None) -> DataFrame:
     """Rows by the bytes of their word, and rows of one word in their given order. The row id makes
-    the key unique, so that also one word's rows can be cut into ranges."""
+    the key unique, so that also one word's rows can be cut into ranges. Rows are also known to be
+    sorted by ``constant``, a column with one value, which then can name a directory."""
     rows = words.withColumn("_row", F.monotonically_increasing_id())
     sizes = rows.groupBy("word").agg((F.count(F.lit(1)) * row_bytes).alias("size"), F.max("_row").alias("last"))
-    return in_order(rows, sizes, "word", position="_row").drop("_row")
+    ordered = in_order(rows, sizes, "word", position="_row")
+    if constant:
+        ordered = ordered.sortWithinPartitions(constant, "word", "_row")
+    return ordered.drop("_row")
