@@ -34,7 +34,7 @@ except ModuleNotFoundError as missing:
 
 VOCAB = BpeVocab()
 # Few iterations and short vectors: the queries check vocabularies, not the quality of vectors.
-SMALL = {"window": 5, "iterations": 1, "epochs": 1, "min_freq": 2}
+SMALL = {"window": 5, "iterations": 1, "epochs": 1, "min_freq": 2, "partitions": 4}
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
