@@ -11,6 +11,7 @@ A tail finds its place from its length and its number among the tails of that le
 from __future__ import annotations
 
 import re
+import os
 import unicodedata
 import zlib
 from dataclasses import dataclass
@@ -70,7 +71,9 @@ class WordIds:
     remembered between batches.
     """
 
-    def __init__(self, path: str, limit: int = 300_000):
+    def __init__(self, path: str, limit: int = 200_000):
+        # one thread: a task has one core, and every thread would keep memory of its own
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.whole = Tokenizer.from_file(path)
