@@ -206,7 +206,8 @@ def hard_negatives(
         return {"cell": cell, "angles": list_column(angles), "length": pa.array(size)}
 
     derived = "cell int, angles array<double>, length double"
-    rows = written(integer_rows(table, scale, dim, placed, derived), "cells")
+    rows = integer_rows(table, scale, dim, placed, derived)
+    rows = written(rows.withColumn("row", F.monotonically_increasing_id()), "cells")
     asked = integer_rows(anchors, scale, dim, placed, derived)
     asked = written(asked.withColumn("row", F.monotonically_increasing_id()), "anchor_cells")  # freezes the ids
     cut, asked_cut = Cut(rows, n_cells, block_rows), Cut(asked, n_cells, group_rows)
@@ -223,7 +224,7 @@ def hard_negatives(
     summary = sorted(summary.collect())  # one row per cell
     least, greatest, shortest, longest_ = (np.array([row[i] for row in summary], dtype=float) for i in range(1, 5))
     classes = np.array([row[5] for row in summary], dtype=np.int64)
-    rows = cut.number(rows, "vec_id", "block").select("block", "vec_id", "label", "vector", "angles", "length")
+    rows = cut.number(rows, "row", "block").select("block", "vec_id", "label", "vector", "angles", "length")
     largest = int(cut.rows.argmax())
     columns = ["row", "vec_id", "label", "vector", "angles", "length"]
 

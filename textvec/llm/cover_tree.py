@@ -230,7 +230,8 @@ def top_products(
         cell, distance = top.cells(vectors)
         return {"cell": pa.array(cell), "distance": pa.array(distance)}
 
-    rows = written(integer_rows(table, scale, dim, placed, "cell int, distance double"), "cells")
+    rows = integer_rows(table, scale, dim, placed, "cell int, distance double")
+    rows = written(rows.withColumn("row", F.monotonically_increasing_id()), "cells")
     asked = integer_rows(queries, scale, dim, placed, "cell int, distance double")
     asked = written(asked.withColumn("row", F.monotonically_increasing_id()), "query_cells")  # freezes the ids
     cut, query_cut = Cut(rows, len(cells), block_rows), Cut(asked, len(cells), group_rows)
@@ -241,7 +242,7 @@ def top_products(
         radii[cell] = radius
     centres, norms = top.centres[cells], top.norms[cells]
     usable = np.flatnonzero(cut.rows)
-    rows = cut.number(rows, "vec_id", "block").select("block", "vec_id", "vector")
+    rows = cut.number(rows, "row", "block").select("block", "vec_id", "vector")
     starters = usable[cut.rows[usable] > k] if (cut.rows > k).any() else usable
 
     def gather(key: tuple, part: pa.Table) -> pa.Table:
