@@ -472,6 +472,45 @@ def test_long_items_and_bare_runs_are_found_as_by_all_passages(spark):
     assert found == expected and found > whole
 
 
+def test_paraphrases_are_proposed_by_the_latent_search(spark, monkeypatch):
+    """Against every passage of every document: nine of ten paraphrases at least, whatever the pieces of long texts."""
+    rng = random.Random(46)
+    items = [sentence(rng, rng.randint(6, 60)) for _ in range(150)]
+    rows = []
+    for item in items * 2:
+        share = rng.choice([0.2, 0.3, 0.38])
+        words = [w if rng.random() > share else sentence(rng, 1) for w in item.split()]
+        rows.append((len(rows), f"{sentence(rng, rng.randint(0, 300))} {' '.join(words)} {sentence(rng, rng.randint(0, 300))}"))
+    rows.append((len(rows), " ".join(text for _, text in rows)))
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    (search,) = decontaminate._searches(frame(spark, rows), benchmark)
+    texts = [text.encode() for _, text in rows]
+    expected = set()
+    for doc, text in enumerate(texts[:-1]):
+        words = text.lower().split()
+        for first, last in zip(*decontaminate.passages(np.array([len(words)]), decontaminate.LENGTH), strict=True):
+            for column in (doc % 150, (doc + 1) % 150):  # the item planted there and another one
+                item = search.items[column]
+                if item.check(words[max(0, first - len(item.words)) : last + len(item.words)]):
+                    expected.add((doc, item.item_id))
+    found = {(doc, hit[0]) for doc, hit in search.hits(texts)}
+    assert len(expected) > 200 and len(found & expected) >= 0.9 * len(expected)
+    assert {i for d, i in found if d == 300} >= {i for d, i in found if d < 300}
+    monkeypatch.setattr(decontaminate, "PIECE", 64)
+    assert {(doc, hit[0]) for doc, hit in search.hits(texts)} >= {(d, i) for d, i in found if d < 300}
+
+
+def test_blocks_of_items_are_bounded_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "ITEM_BYTES", 300)
+    rng = random.Random(47)
+    items = [sentence(rng, n) for n in (20, 90, 20, 20, 200)]
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    docs = frame(spark, list(enumerate(items)))
+    blocks = [[item.item_id for item in search.items] for search in decontaminate._searches(docs, benchmark)]
+    assert sum(blocks, []) == [0, 1, 2, 3, 4] and len(blocks) > 2
+    assert sorted(r["doc_id"] for r in decontaminate.leaks(docs, benchmark).collect()) == [0, 1, 2, 3, 4]
+
+
 def test_items_of_one_id_are_all_searched(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "ITEM_BLOCK", 2)
     rng = random.Random(36)
