@@ -3,7 +3,8 @@
 A text is layer zero. Every layer is searched for the three kinds of secrets and for encoded parts:
 URL escapes and Unicode escapes are undone over the whole layer, base64 runs (and what they hold in
 compressed form, all members of it) become layers of their own, of one line and, where lines of one
-length follow each other, of all of them. Bytes that are no UTF-8 are read as UTF-16 or Latin-1. New layers join the worklist until none is left; a
+length follow each other, of all of them. A run may be glued to other characters of its alphabet, so it is
+decoded from each of its first four characters on, and packed data are looked for everywhere in it. Bytes that are no UTF-8 are read as UTF-16 or Latin-1. New layers join the worklist until none is left; a
 layer whose text was already searched at the same place is not searched again, so cycles end. Each
 layer remembers from which characters of the text its characters come, so a secret found at any
 depth is reported as a span of the text.
@@ -48,6 +49,10 @@ WRAPPED = re.compile(
     r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}(?:[\x20\t]*\r?\n[\x20\t]*[A-Za-z0-9+/_-]+)+={0,2}"
 )
 PIECE = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
+# stretches of text among bytes that are none, one or two bytes to a character
+STRETCH = re.compile(rb"[\t\r\n\x20-\x7e]{12,}|(?:[\t\r\n\x20-\x7e]\0){12,}")
+# fixed values: how gzip, bzip2, xz and zlib data begin in base64
+PACKED = re.compile(r"H4sI|Qlpo|[/_]Td6WFoA|eAE|eF[4-7]|eJ[w-z]|eN[o-r]")
 URL_SAFE = str.maketrans("-_", "+/")
 
 
@@ -182,6 +187,31 @@ def _from_base64(run: str) -> tuple[bytes, bool] | None:
     return data, packed
 
 
+def _glued(run: str, whole: bytes):
+    """``text, low, high`` of what a run holds beside characters that do not belong to it, and is not in ``whole``.
+
+    Decoding from another character on gives bytes that are no text before and after the right ones; the
+    stretches of text are kept, each with the characters that it comes from. Packed data are
+    tried wherever one can begin; what follows them is ignored.
+    """
+    body = run.rstrip("=")
+    for lead in range(4):
+        if not lead and len(body) % 4 != 1:
+            continue  # the whole run is a layer anyway
+        part = body[lead : len(body) - ((len(body) - lead) % 4 == 1)].translate(URL_SAFE)
+        data = base64.b64decode(part + "=" * (-len(part) % 4))
+        for match in STRETCH.finditer(data):
+            text = match[0].replace(b"\0", b"").decode("ascii")
+            yield text, lead + match.start() * 8 // 6, lead + -(-match.end() * 8 // 6)
+    seen = [whole]
+    for match in PACKED.finditer(body, 1):
+        part = body[match.start() :]
+        content = _from_base64(part[: len(part) - (len(part) % 4 == 1)])
+        if content and content[1] and content[0] and not any(content[0] in data for data in seen):
+            seen.append(content[0])
+            yield _readable(content[0])[0], match.start(), len(run)
+
+
 def _wrapped(text: str):
     """The pieces, as spans, of what may be one base64 run wrapped into lines.
 
@@ -256,6 +286,9 @@ def _next_layers(layer: Layer):
         if content and content[0]:
             low, high = match.span() if layer.starts is None else layer.span(*match.span())
             yield Layer(_readable(content[0])[0], low, high, layer.depth + 1)
+        for inner, first, last in _glued(match[0], content[0] if content else b""):
+            place = match.start() + first, match.start() + last
+            yield Layer(inner, *(place if layer.starts is None else layer.span(*place)), layer.depth + 1)
     for pieces in _wrapped(text):
         if new := _joined_layer(layer, pieces):
             yield new
