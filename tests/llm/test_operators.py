@@ -16,6 +16,7 @@ from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).parent))
 
@@ -272,6 +273,39 @@ def test_one_edit_of_a_word(spark):
     assert found == {0: 0, 1: 1, 2: 1, 3: 1, 4: 0, 5: 0, 6: 0}
 
 
+def test_votes_equal_those_of_a_plain_search():
+    rng = np.random.default_rng(8)
+    voters = rng.integers(-2, 3, (400, knn_quality.RANK)).astype(np.float32)
+    voters[200:] = voters[:200]  # every voter has a copy, so the last place is often tied
+    voters /= np.linalg.norm(voters, axis=1, keepdims=True)
+    labels = rng.integers(0, 2, 400).astype(np.float64)
+    scores = np.rint(voters[:50] @ voters.T * knn_quality.STEPS)
+    near = knn_quality.nearest(scores, 15)
+    for row in range(50):
+        order = sorted(range(400), key=lambda c: (-scores[row, c], c))[:15]
+        assert near[row].tolist() == sorted(order)
+    texts = [sentence(random.Random(i), 30).encode() for i in range(30)]
+    table = rng.standard_normal((knn_quality.N_TERMS, knn_quality.RANK)).astype(np.float32)
+    voters = np.concatenate([knn_quality.vectors(texts, table), voters])
+    labels = np.concatenate([np.arange(30) % 2, labels])
+    found = knn_quality.Model(table, voters, labels).scores(texts)
+    for mine, score in zip(knn_quality.vectors(texts, table), found, strict=True):
+        cosine = [round(float(np.dot(mine, v)) * knn_quality.STEPS) / knn_quality.STEPS for v in voters]
+        order = sorted(range(430), key=lambda c: (-cosine[c], c))[:15]
+        weight = [max(0, min(1, cosine[c])) ** knn_quality.SHARPNESS for c in order]
+        assert score == pytest.approx(sum(w * labels[c] for w, c in zip(weight, order, strict=True)) / sum(weight), abs=1e-3)
+
+
+def test_an_id_with_several_texts_votes_with_the_first(spark):
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(40)], "doc_id bigint, quality int, toxic int")
+    rows = [(i, f"text {i} of words {'ab'[i % 2] * 4}") for i in range(40)] + [(i, f"a {i} other") for i in range(40)]
+    scores = []
+    for part in (rows, rows[::-1]):
+        model = knn_quality.fit(frame(spark, part).repartition(3), labels, F.col("doc_id") < 0)
+        scores.append(model.scores([text.encode() for _, text in rows]))
+    assert np.allclose(*scores, atol=1e-4)
+
+
 def test_secrets_in_nested_layers():
     secret = 'password = "abcdefghijklmnop1"'
     packed = base64.b64encode(gzip.compress(base64.b64encode(secret.encode()))).decode()
@@ -291,6 +325,19 @@ def test_secrets_in_nested_layers():
     assert secrets.all_spans("%25" * 50)[1] == [] and secrets.all_spans("")[1] == []
 
 
+@pytest.mark.parametrize("lead", ["id-", "id_1-", "v1_", "https://h.example/ab/", "x", "ab", "+-_/ab12"])
+@pytest.mark.parametrize("tail", ["", "-end", "/a", "_1/b"])
+def test_secrets_in_base64_glued_to_other_characters(lead, tail):
+    secret = b"password = abcdefghijklmnop1"
+    for data in (secret, b"\xc3\xa9 " + secret + b" \xc3\xa9", gzip.compress(secret), zlib.compress(secret), bz2.compress(secret)):
+        run = base64.b64encode(data).decode().rstrip("=")
+        text = f"x {lead}{run}{tail} y"
+        at = text.index(run)
+        spans = [span for span in secrets.all_spans(text)[1] if span[1] == 0]
+        assert spans and all(start < at + len(run) and end > at for start, _, end in spans)
+    assert secrets.all_spans("/usr/share/" + "abcdefgh/" * 20)[1] == []
+
+
 @pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, bz2.compress, lzma.compress])
 def test_secrets_in_later_members(pack):
     packed = base64.b64encode(pack(b"nothing here\n") + pack(b'password = "abcdefghijklmnop1"')).decode()

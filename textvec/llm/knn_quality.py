@@ -6,7 +6,7 @@ all documents. The space and the voters come from a bounded sample of labelled d
 of them at most, the first by a hash of their id), whose vectors go to all tasks: ``SAMPLE x RANK``
 numbers, whatever the corpus. Every document is compared with every voter by exact cosines, one block
 of documents at a time; its ``NEIGHBOURS`` nearest voters vote with their similarity to the power
-``SHARPNESS``.
+``SHARPNESS``. Cosines are rounded to ``1 / STEPS``, and of equal ones the voter with the smaller id is nearer.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ N_TERMS = SHAPES + WORDS
 REPEAT, LENGTHS, FIRST_SHAPE = 0, 1, 64  # term numbers of the repeat mark, of lengths, of shapes
 SHAPE_WEIGHT = np.float32(2.0)
 SAMPLE, RANK = 8192, 32
-NEIGHBOURS, SHARPNESS = 15, 4
+NEIGHBOURS, SHARPNESS, STEPS = 15, 4, 1 << 16
 THRESHOLD = 0.3
 BLOCK_BYTES = 1 << 21
 
@@ -113,6 +113,16 @@ def vectors(texts: list[bytes], table: np.ndarray) -> np.ndarray:
     return unit(total)
 
 
+def nearest(scores: np.ndarray, k: int) -> np.ndarray:
+    """Per row the columns of its ``k`` highest scores, in order; of equal scores the first columns."""
+    near = np.argpartition(scores, scores.shape[1] - k, axis=1)[:, -k:]
+    least = np.take_along_axis(scores, near, 1).min(axis=1)
+    for row in np.flatnonzero((scores >= least[:, None]).sum(axis=1) > k):
+        able = np.flatnonzero(scores[row] >= least[row])
+        near[row] = able[np.argsort(-scores[row, able], kind="stable")[:k]]
+    return np.sort(near, axis=1)
+
+
 class Model:
     """What a fit leaves: the weighted projection and the voters with their labels."""
 
@@ -128,8 +138,10 @@ class Model:
         k = min(NEIGHBOURS, len(self.labels))
         for low in range(0, len(texts), 512):
             cosine = mine[low : low + 512] @ self.voters.T
-            near = np.argpartition(cosine, len(self.labels) - k, axis=1)[:, -k:]
-            weight = np.clip(np.take_along_axis(cosine, near, 1).astype(np.float64), 0, 1) ** SHARPNESS
+            cosine *= STEPS
+            np.rint(cosine, out=cosine)
+            near = nearest(cosine, k)
+            weight = np.clip(np.take_along_axis(cosine, near, 1).astype(np.float64) / STEPS, 0, 1) ** SHARPNESS
             total = weight.sum(axis=1)
             votes = (weight * self.labels[near]).sum(axis=1)
             out[low : low + 512] = np.where(total > 0, votes / np.where(total > 0, total, 1), prior)
@@ -140,7 +152,8 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: Column) -> Model:
     """A model from all documents' term frequencies and a bounded sample of the labels not held out.
 
     ``labels`` has ``doc_id, quality``; rows with a null in either are left out, and where a document has
-    several labels the least one holds. Labels are used as votes only.
+    several labels the least one holds, where an id has several texts the first of them in order. Labels are
+    used as votes only.
     """
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_column().alias("text"))
     frequencies, total = document_frequencies(texts.select("text"), _all_terms, N_TERMS)
@@ -170,7 +183,7 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: Column) -> Model:
     # at most SAMPLE ids: small enough to send to all tasks
     chosen = texts.join(F.broadcast(sample), "doc_id").select("doc_id", F.col("quality").cast("int"), "text")
     # one row per id, so copies of a row in the documents do not grow the sample
-    chosen = chosen.dropDuplicates(["doc_id"])
+    chosen = chosen.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.min("text").alias("text"))
     schema = "doc_id bigint, quality int, text string, terms array<int>, weights array<double>"
     rows = written(map_batches(chosen, sparse, schema), "sample").coalesce(8)
     table = projection(rows.select("terms", "weights"), N_TERMS, RANK) * weights[:, None]
