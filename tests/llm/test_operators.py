@@ -567,6 +567,17 @@ def test_items_of_one_id_are_all_searched(spark, monkeypatch):
     assert sorted(found) == [0, 0, 1, 2, 3, 4]
 
 
+def test_the_space_is_fitted_on_the_items_of_all_blocks(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "ITEM_BLOCK", 2)
+    fitted, projection = [], decontaminate.projection
+    monkeypatch.setattr(decontaminate, "projection", lambda rows, *a: fitted.append(rows.count()) or projection(rows, *a))
+    rng = random.Random(48)
+    items = [sentence(rng, 20) for _ in range(5)]
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    searches = list(decontaminate._searches(frame(spark, list(enumerate(items))), benchmark))
+    assert len(searches) == 3 and fitted == [5]  # a passage each
+
+
 def test_subsequences_and_runs():
     assert decontaminate.subsequence(list("abcbdab"), list("bdcaba")) == 4
     assert decontaminate.longest_run(list("xabcy"), list("zzabcabcy")) == 4

@@ -1,8 +1,7 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 Benchmark items and passages of documents are hashed TF-IDF vectors (document frequencies over all documents),
-projected by a randomised SVD that is worked out over the passages of the items (the first ``ITEM_BLOCK`` of
-them: a bounded fit). Documents are read as passages of several lengths, each twice the one before, that overlap
+projected by a randomised SVD that is worked out over the passages of all items. Documents are read as passages of several lengths, each twice the one before, that overlap
 by half; an item is compared with all passages of the shortest length that can hold it, by its cosine within the
 space, against the passage's whole length and relative to what the item itself would score. The sums of the
 longer passages are made of those of the shorter ones, so a word is looked up once. Passages that are too short
@@ -24,6 +23,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +34,7 @@ from textvec.llm.common import map_batches, masked, text_column, unmasked
 from textvec.llm.latent import (
     document_frequencies,
     hashed,
+    in_tasks,
     inverse_frequencies,
     numbered,
     projection,
@@ -293,11 +294,12 @@ class Search:
         for part in _portions(high - low, 1 << 17):
             size, owner = (high - low)[part], items[part]
             word = codes[np.repeat(low[part], size) + _within(size)]
-            pair = np.repeat(owner, size) * n_words + word
+            known = np.flatnonzero(word >= 0)
+            candidate = np.repeat(np.arange(len(size)), size)[known]
+            pair = owner[candidate] * n_words + word[known]
             at = np.minimum(np.searchsorted(self.owned, pair), len(self.owned) - 1)
-            has = np.flatnonzero((word >= 0) & (self.owned[at] == pair))
-            candidate = np.repeat(np.arange(len(size)), size)[has]
-            key, times = np.unique(candidate * len(self.owned) + at[has], return_counts=True)
+            has = np.flatnonzero(self.owned[at] == pair)
+            key, times = np.unique(candidate[has] * len(self.owned) + at[has], return_counts=True)
             shared = np.minimum(times, self.own_counts[key % len(self.owned)])
             most = np.bincount(key // len(self.owned), weights=shared, minlength=len(size))
             out[part] = most >= self.least[owner]
@@ -309,7 +311,7 @@ class Search:
         if not len(at) or not self.items:
             return []
         weight = self.idf[hashed(words, N_TERMS)].astype(np.float64) ** 2
-        codes = np.fromiter((self.vocabulary.get(w, -1) for w in words), np.int64, len(words))[at]
+        codes = np.fromiter(map(self.vocabulary.get, words, repeat(-1)), np.int64, len(words))[at]
         before = np.concatenate([[0], np.cumsum(codes >= 0)])
         ends = np.cumsum(counts)
         found: dict[tuple[int, int], tuple] = {}
@@ -318,6 +320,9 @@ class Search:
             docs = np.searchsorted(ends, first, "right")
             low = np.maximum((ends - counts)[docs], first - self.margins[items])
             high = np.minimum(ends[docs], last + self.margins[items])
+            # words of any item that are too few for this one need not be looked at
+            enough = np.flatnonzero(before[high] - before[low] >= self.least[items])
+            docs, low, high, items = docs[enough], low[enough], high[enough], items[enough]
             for i in np.flatnonzero(self.able(codes, low, high, items)).tolist():
                 doc, column = int(docs[i]), int(items[i])
                 begin = int(ends[doc] - counts[doc])
@@ -340,7 +345,6 @@ def _searches(docs: DataFrame, benchmark: DataFrame):
     frequencies, total = document_frequencies(texts.select("text"), _terms, N_TERMS)
     idf = inverse_frequencies(frequencies, total)
     queries = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), text_column().alias("text"))
-    fitted = queries.orderBy("item_id").limit(ITEM_BLOCK).select("text")
 
     def sparse(batch: pa.RecordBatch):
         for _, part in _blocks(batch.column("text")):
@@ -359,8 +363,8 @@ def _searches(docs: DataFrame, benchmark: DataFrame):
                 ["terms", "weights"],
             )
 
-    rows = written(map_batches(fitted, sparse, "terms array<int>, weights array<double>"), "passages").coalesce(8)
-    table = projection(rows, N_TERMS, RANK) * idf[:, None]
+    rows = written(map_batches(queries.select("text"), sparse, "terms array<int>, weights array<double>"), "passages")
+    table = projection(in_tasks(rows), N_TERMS, RANK) * idf[:, None]
     # an id may stand in many rows: blocks go by id and text, which no two rows of the groups share
     items = queries.where("item_id is not null").groupBy("item_id", "text").agg(F.count("*").alias("n"))
     items = written(items, "items")

@@ -7,7 +7,7 @@ the corpus holds: document frequencies and the projection are arrays that all ta
 from __future__ import annotations
 
 from collections.abc import Callable
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +36,7 @@ def numbered(token_lists: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, li
 
 
 def hashed(tokens, n_terms: int, seed: int = 0) -> np.ndarray:
-    hashes = np.fromiter((xxhash.xxh64_intdigest(t, seed) for t in tokens), np.uint64)
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, tokens, repeat(seed)), np.uint64)
     return (hashes % np.uint64(n_terms)).astype(np.int64)
 
 
@@ -108,6 +108,13 @@ def projection(rows: DataFrame, n_terms: int, rank: int, rounds: int = 3, seed:
 
 NONZEROS = 65_536  # of the sparse rows worked on at a time
 SLICE_TERMS = 4096
+TASK_ROWS = 1 << 17
+
+
+def in_tasks(rows: DataFrame) -> DataFrame:
+    """The rows of a stored table in eight tasks, or one for each ``TASK_ROWS`` where those are more: a
+    task of ``projection`` sends as much as a block has, however few its rows are."""
+    return rows.coalesce(max(8, -(-rows.count() // TASK_ROWS)))
 
 
 def _power(rows: DataFrame, block: np.ndarray) -> np.ndarray:
