@@ -9,12 +9,14 @@ import hashlib
 import lzma
 import random
 import sys
+import tracemalloc
 import urllib.parse
 import zlib
 from collections import defaultdict
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -27,6 +29,7 @@ from textvec.llm import (  # noqa: E402
     components,
     decontaminate,
     knn_quality,
+    latent,
     line_dedup,
     packing,
     parsing,
@@ -582,3 +585,82 @@ def test_subsequences_and_runs():
     assert decontaminate.subsequence(list("abcbdab"), list("bdcaba")) == 4
     assert decontaminate.longest_run(list("xabcy"), list("zzabcabcy")) == 4
     assert decontaminate.subsequence([], list("ab")) == 0
+
+
+def _captured(monkeypatch, module):
+    """What ``module`` hands to map_batches."""
+    calls = []
+    whole = module.map_batches
+
+    def capture(df, function, schema):
+        calls.append((df, function))
+        return whole(df, function, schema)
+
+    monkeypatch.setattr(module, "map_batches", capture)
+    return calls
+
+
+def test_quality_judges_and_returns_a_batch_block_by_block(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    table = rng.standard_normal((knn_quality.N_TERMS, knn_quality.RANK)).astype(np.float32)
+    texts = [sentence(random.Random(i), 40) if i % 7 else None for i in range(100)]
+    voters = knn_quality.vectors([(t or "").encode() for t in texts], table)
+    model = knn_quality.Model(table, voters, np.arange(100) % 2 * 1.0)
+    calls = _captured(monkeypatch, knn_quality)
+    docs = frame(spark, list(enumerate(texts)))
+    whole = knn_quality.scored(docs, model, docs.columns)
+    source, judge = calls[0]
+    batch = source.toArrow().sort_by("_0").combine_chunks().to_batches()[0]
+    assert sum(batch.column(c).to_pylist() == texts for c in batch.schema.names) == 1
+    assert batch.num_columns == len(docs.columns)  # the text goes to Python once
+    monkeypatch.setattr(knn_quality, "BLOCK_BYTES", 2000)
+    parts = list(judge(batch))
+    assert len(parts) > 5 and max(p.num_rows for p in parts) < 30
+    found = pa.Table.from_batches(parts)
+    assert found.column("_0").to_pylist() == list(range(100)) and found.column("_1").to_pylist() == texts
+    scores = model.scores([(t or "").encode() for t in texts])
+    assert found.column("_score").to_pylist() == pytest.approx(scores, abs=1e-3)
+    rows = sorted(whole.toDF(*docs.columns, "found").select("doc_id", "text", "found").collect())
+    assert [(r["doc_id"], r["text"]) for r in rows] == list(enumerate(texts))
+    assert [r["found"] for r in rows] == pytest.approx(scores, abs=1e-3)
+
+
+def test_decontamination_returns_a_batch_block_by_block(spark, monkeypatch):
+    texts = [sentence(random.Random(i), 40) if i % 7 else None for i in range(100)]
+    item = sentence(random.Random(500), 30)
+    texts[50] = f"{texts[50]} {item}"
+    benchmark = spark.createDataFrame([(1, item)], "item_id bigint, text string")
+    calls = _captured(monkeypatch, decontaminate)
+    docs = frame(spark, list(enumerate(texts)))
+    decontaminate.clean(docs, benchmark)
+    source, keep = calls[-1]
+    batch = source.toArrow().sort_by("c0").combine_chunks().to_batches()[0]
+    assert batch.num_columns == len(docs.columns)
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 2000)
+    parts = list(keep(batch))
+    assert len(parts) > 5 and max(p.num_rows for p in parts) < 30
+    assert pa.Table.from_batches(parts).column(0).to_pylist() == [i for i in range(100) if i != 50]
+
+
+@pytest.mark.parametrize("module", [knn_quality, decontaminate], ids=["quality", "decontamination"])
+def test_terms_of_a_batch_stand_in_memory_a_block_at_a_time(module):
+    few = [sentence(random.Random(i), 400) for i in range(300)]
+    peaks = []
+    for times in (5, 20):  # some 4 and 16 MB of text
+        batch = pa.RecordBatch.from_arrays([pa.array(few * times)], ["text"])
+        tracemalloc.start()
+        for _ in module._terms(batch) if module is decontaminate else module._all_terms(batch):
+            pass
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert peaks[1] < 1.3 * peaks[0]
+
+
+def test_picked_rows_sum_as_all_at_once(monkeypatch):
+    rng = np.random.default_rng(4)
+    rows = rng.standard_normal((50, 8)).astype(np.float32)
+    for counts in ([], [0], [0, 3, 0, 200, 1, 0, 64, 63, 65, 0], rng.integers(0, 30, 300)):
+        counts = np.array(counts, np.int64)
+        at = rng.integers(0, 50, counts.sum())
+        monkeypatch.setattr(latent, "PICKS", 64)
+        assert latent.summed_picks(rows, at, counts).tobytes() == latent.summed(rows[at], counts).tobytes()

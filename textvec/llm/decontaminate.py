@@ -122,7 +122,7 @@ class Item:
 def _blocks(texts: pa.Array):
     rows, size, first = [], 0, 0
     for i, text in enumerate(texts.cast(pa.binary())):
-        rows.append(text.as_py())
+        rows.append(text.as_py() or b"")
         size += len(rows[-1])
         if size >= BLOCK_BYTES:
             yield first, rows
@@ -131,13 +131,10 @@ def _blocks(texts: pa.Array):
         yield first, rows
 
 
-def _terms(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    flat, sizes = [], []
+def _terms(batch: pa.RecordBatch):
     for _, texts in _blocks(batch.column("text")):
         at, counts, words = numbered([words_of(t) for t in texts])
-        flat.append(hashed(words, N_TERMS)[at])
-        sizes.append(counts)
-    return np.concatenate(flat), np.concatenate(sizes)
+        yield hashed(words, N_TERMS)[at], counts
 
 
 def passages(counts: np.ndarray, length: int, overlap: int | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -421,16 +418,15 @@ def _found(source: DataFrame, search: Search, keep: tuple[str, ...], fields: str
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, that hold no item; judged in place, without a join."""
     out, inner = masked(docs)
-    names = out.columns
     for search in _searches(docs, benchmark):
         held = docs.sparkSession.sparkContext.broadcast(search)
 
         def keep(batch: pa.RecordBatch, held=held):
-            hit = np.zeros(batch.num_rows, bool)
-            for first, texts in _blocks(batch.column("_judged")):
-                hit[[first + doc for doc, _ in held.value.hits(texts)]] = True
-            yield batch.filter(pa.array(~hit)).select(names)
+            for first, texts in _blocks(batch.column(inner["text"])):
+                hit = np.zeros(len(texts), bool)
+                hit[[doc for doc, _ in held.value.hits(texts)]] = True
+                yield batch.slice(first, len(texts)).filter(pa.array(~hit))
 
-        fields = ", ".join(f"{c} {f.dataType.simpleString()}" for c, f in zip(names, docs.schema, strict=True))
-        out = map_batches(out.withColumn("_judged", text_column(inner["text"])), keep, fields)
+        fields = ", ".join(f"{c} {f.dataType.simpleString()}" for c, f in zip(out.columns, docs.schema, strict=True))
+        out = map_batches(out, keep, fields)
     return unmasked(out, inner)

@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from textvec.llm.common import crc32_remainder, map_batches, text_column
 from textvec.llm.latent import (
@@ -23,7 +24,7 @@ from textvec.llm.latent import (
     inverse_frequencies,
     numbered,
     projection,
-    summed,
+    summed_picks,
     unit,
 )
 from textvec.workspace import written
@@ -35,7 +36,7 @@ SHAPE_WEIGHT = np.float32(2.0)
 SAMPLE, RANK = 8192, 32
 NEIGHBOURS, SHARPNESS, STEPS = 15, 4, 1 << 16
 THRESHOLD = 0.3
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 20
 
 SCORES = "doc_id bigint, held_out boolean, score double, predicted int"
 
@@ -61,11 +62,11 @@ def _terms(texts: list[bytes]):
     return word_terms, shape_terms, at, counts, repeats, length
 
 
-def _blocks(batch: pa.RecordBatch):
-    """The batch in blocks of about ``BLOCK_BYTES`` of text: first row and the texts as bytes."""
+def _blocks(batch: pa.RecordBatch, column: str = "text"):
+    """The batch in blocks of about ``BLOCK_BYTES`` of text: first row and the texts as bytes, a null as empty."""
     texts, size, first = [], 0, 0
-    for i, text in enumerate(batch.column("text").cast(pa.binary())):
-        texts.append(text.as_py())
+    for i, text in enumerate(batch.column(column).cast(pa.binary())):
+        texts.append(text.as_py() or b"")
         size += len(texts[-1])
         if size >= BLOCK_BYTES:
             yield first, texts
@@ -89,13 +90,10 @@ def _sparse(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return found, times, np.bincount(found // N_TERMS, minlength=len(texts))
 
 
-def _all_terms(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    terms, counts = [], []
+def _all_terms(batch: pa.RecordBatch):
     for _, texts in _blocks(batch):
         found, _, sizes = _sparse(texts)
-        terms.append(found % N_TERMS)
-        counts.append(sizes)
-    return np.concatenate(terms), np.concatenate(counts)
+        yield found % N_TERMS, sizes
 
 
 def _weights(idf: np.ndarray) -> np.ndarray:
@@ -108,7 +106,7 @@ def vectors(texts: list[bytes], table: np.ndarray) -> np.ndarray:
     """Unit latent vectors; ``table`` is the projection with every row already weighted."""
     word_terms, shape_terms, at, counts, repeats, length = _terms(texts)
     per_word = table[word_terms] + table[shape_terms]
-    total = summed(per_word[at], counts)
+    total = summed_picks(per_word, at, counts)
     total += repeats[:, None] * table[REPEAT] + table[length]
     return unit(total)
 
@@ -140,7 +138,7 @@ class Model:
             cosine = mine[low : low + 512] @ self.voters.T
             cosine *= STEPS
             np.rint(cosine, out=cosine)
-            near = nearest(cosine, k)
+            near = np.concatenate([nearest(cosine[i : i + 64], k) for i in range(0, len(cosine), 64)])
             weight = np.clip(np.take_along_axis(cosine, near, 1).astype(np.float64) / STEPS, 0, 1) ** SHARPNESS
             total = weight.sum(axis=1)
             votes = (weight * self.labels[near]).sum(axis=1)
@@ -214,14 +212,19 @@ def scored(docs: DataFrame, model: Model, keep: list[str], text: str = "text") -
     """
     held = docs.sparkSession.sparkContext.broadcast(model)
     inner = [f"_{i}" for i in range(len(keep))]
+    kinds = docs.select(*keep).schema
+    source = docs.select(*(F.col(c).alias(i) for c, i in zip(keep, inner, strict=True)), text_column(text).alias("text"))
+    judged = "text"
+    if text in keep and kinds[keep.index(text)].dataType == T.StringType():  # then it goes to Python once
+        judged = inner[keep.index(text)]
+        source = source.drop("text")
 
     def judge(batch: pa.RecordBatch):
-        scores = np.concatenate([held.value.scores(texts) for _, texts in _blocks(batch)])
-        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in inner), pa.array(scores)], [*inner, "_score"])
+        for first, texts in _blocks(batch, judged):
+            columns = [batch.column(c).slice(first, len(texts)) for c in inner]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(held.value.scores(texts))], [*inner, "_score"])
 
-    kinds = docs.select(*keep).schema
     fields = ", ".join(f"{i} {f.dataType.simpleString()}" for i, f in zip(inner, kinds, strict=True))
-    source = docs.select(*(F.col(c).alias(i) for c, i in zip(keep, inner, strict=True)), text_column(text).alias("text"))
     return map_batches(source, judge, f"{fields}, _score double").toDF(*keep, "score")
 
 

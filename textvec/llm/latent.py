@@ -6,7 +6,7 @@ the corpus holds: document frequencies and the projection are arrays that all ta
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from itertools import chain, repeat
 
 import numpy as np
@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textvec.llm.common import map_batches
+from textvec.workspace import ship_package
 
 
 class Numbered(dict):
@@ -40,6 +40,9 @@ def hashed(tokens, n_terms: int, seed: int = 0) -> np.ndarray:
     return (hashes % np.uint64(n_terms)).astype(np.int64)
 
 
+PICKS = 1 << 15
+
+
 def summed(rows: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Sums of consecutive runs of rows; an empty run sums to zero."""
     out = np.zeros((len(counts), rows.shape[1]), rows.dtype)
@@ -50,30 +53,48 @@ def summed(rows: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return out
 
 
+def summed_picks(rows: np.ndarray, at: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """``summed(rows[at], counts)``; about ``PICKS`` picked rows, or one run, stand in memory at a time."""
+    ends = np.cumsum(counts)
+    cuts = [0, *(np.flatnonzero(np.diff(ends // PICKS)) + 1), len(counts)]
+    out = np.zeros((len(counts), rows.shape[1]), rows.dtype)
+    for low, high in zip(cuts, cuts[1:], strict=False):
+        if low < high:
+            out[low:high] = summed(rows[at[ends[low] - counts[low] : ends[high - 1]]], counts[low:high])
+    return out
+
+
 def unit(rows: np.ndarray) -> np.ndarray:
     """Rows of length one; a zero row stays zero."""
     norm = np.linalg.norm(rows, axis=1, keepdims=True)
     return (rows / np.where(norm > 0, norm, 1)).astype(np.float32)
 
 
-def document_frequencies(df: DataFrame, terms: Callable[[pa.RecordBatch], tuple], n_terms: int) -> tuple[np.ndarray, int]:
+def document_frequencies(
+    df: DataFrame, terms: Callable[[pa.RecordBatch], Iterator[tuple]], n_terms: int
+) -> tuple[np.ndarray, int]:
     """In how many of all documents each term is, and how many there are.
 
-    ``terms`` gives a batch's term numbers and how many each document has. Every task sends one row per
-    batch and term, summed by Spark; at most ``n_terms`` sums reach the driver.
+    ``terms`` yields, for one part of a batch after the other, the term numbers and how many each document
+    has. Every task counts part by part and sends one row per term, summed by Spark; at most ``n_terms``
+    sums reach the driver.
     """
+    ship_package(df.sparkSession)
 
-    def count(batch: pa.RecordBatch):
-        flat, counts = terms(batch)
-        doc = np.repeat(np.arange(len(counts)), counts)
-        pairs = np.sort(doc * n_terms + flat)  # far faster than np.unique, which hashes
-        found = pairs[np.append(True, pairs[1:] != pairs[:-1])[: len(pairs)]] % n_terms
-        sums = np.bincount(found, minlength=n_terms)
+    def count(batches):
+        sums, total = np.zeros(n_terms, np.int64), 0
+        for batch in batches:
+            for flat, counts in terms(batch):
+                doc = np.repeat(np.arange(len(counts)), counts)
+                pairs = np.sort(doc * n_terms + flat)  # far faster than np.unique, which hashes
+                found = pairs[np.append(True, pairs[1:] != pairs[:-1])[: len(pairs)]] % n_terms
+                sums += np.bincount(found, minlength=n_terms)
+                total += len(counts)
         used = np.flatnonzero(sums)
         keys = np.append(used, -1)
-        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.append(sums[used], len(counts)))], ["term", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.append(sums[used], total))], ["term", "n"])
 
-    rows = map_batches(df, count, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n")).collect()
+    rows = df.mapInArrow(count, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n")).collect()
     out, total = np.zeros(n_terms, np.int64), 0
     for row in rows:
         if row["term"] < 0:
