@@ -43,6 +43,21 @@ def test_trim_controls_keeps_other_spaces(spark):
     assert _apply(spark, values, "string", text.trim_controls) == ["a", "a ", " a", "", ""]
 
 
+def test_white_space_tokens(spark):
+    """Only runs of space, tab, line and form feeds part tokens; a plain split is enough where there are just blanks."""
+    rng = random.Random(3)
+    values = [None, "", " ", "  a  b ", "a\tb", "\x0ba\x1cb\xa0c", "\u2003 d", "a\r\n\fb ", "😀 é  "]
+    values += ["".join(rng.choices("abé  \t\n\r\f\x0b", k=rng.randint(0, 20))) for _ in range(200)]
+    values += ["".join(rng.choices("abé  ", k=rng.randint(0, 20))) for _ in range(100)]
+    expected = [None if v is None else [t for t in re.split(r"[ \t\n\r\f]+", v) if t] for v in values]
+    assert _apply(spark, values, "string", text.white_space_tokens) == expected
+    broken = [bytearray(b"a\xff \x80b  c"), bytearray(b"\xe2\x82\td\xe2 ")]  # as texts decode: U+FFFD for each part
+    found = _apply(spark, broken, "binary", lambda c: text.white_space_tokens(c.cast("string")))
+    assert found == [b.decode("utf-8", "replace").split() for b in broken]
+    plan = spark.range(1).select(text.white_space_tokens(F.col("id").cast("string")))._jdf.queryExecution().toString()
+    assert "lambda" not in plan and "CASE WHEN" in plan
+
+
 def _string_hash(name):
     units = name.encode("utf-16-be")
     h = 0
