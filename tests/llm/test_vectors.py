@@ -7,6 +7,7 @@ import random
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from textvec.llm import angular, cover_tree, int_vectors
@@ -105,6 +106,54 @@ def test_top_products(spark, monkeypatch, seed, block_rows, group_rows, per_task
     assert sorted(map(tuple, found.collect())) == plain_top(rows, 7, 64)
 
 
+def plain_best(queries, query_ids, rows, row_ids, k, floor):
+    """``query, id, score`` of the rows that ``search`` has to find, by all pairs."""
+    out = []
+    for n, (query, key) in enumerate(zip(queries, query_ids, strict=True)):
+        scored = sorted((-int(query @ row), int(i)) for row, i in zip(rows, row_ids, strict=True) if i != key)
+        out += [(n, i, -s) for s, i in scored[:k] if floor is None or -s >= floor[n]]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("kind", ["scattered", "ties", "clusters", "copies", "one query"])
+def test_search_equals_all_pairs(monkeypatch, kind):
+    """Repeated ids, equal scores and copies; few products at once, whatever the leaves."""
+    rng = np.random.default_rng(4)
+    monkeypatch.setattr(cover_tree, "ROW_LEAF", 16)
+    monkeypatch.setattr(cover_tree, "PAIRS", 500)
+    vectors = {
+        "scattered": lambda: rng.integers(-1000, 1000, (700, 8)),
+        "ties": lambda: rng.integers(-2, 3, (700, 3)),
+        "clusters": lambda: rng.integers(-9999, 9999, (6, 8))[rng.integers(0, 6, 700)] + rng.integers(-20, 20, (700, 8)),
+        "copies": lambda: np.repeat(rng.integers(-50, 50, (7, 4)), 100, axis=0),
+        "one query": lambda: rng.integers(-1000, 1000, (700, 8)),
+    }[kind]().astype(float)
+    ids = rng.integers(0, 500, 700)
+    asked = np.zeros(90, dtype=int) if kind == "one query" else rng.integers(0, 700, 90)
+    sizes, products = [], cover_tree.products
+    monkeypatch.setattr(cover_tree, "products", lambda *a: sizes.append(len(a[0]) * len(a[1])) or products(*a))
+    tree = cover_tree.RowTree(pa.table({"vec_id": pa.array(ids), "vector": int_vectors.list_column(vectors)}))
+    for k, floor in ((1, None), (9, None), (9, rng.integers(0, 40, 90))):
+        best = int_vectors.Best(90, k, floor)
+        cover_tree.search(vectors[asked], ids[asked], tree, best)
+        at, found, scores = best.rows()
+        rows = [r for r in zip(at.tolist(), found.tolist(), scores.tolist(), strict=True) if floor is None or r[2] >= floor[r[0]]]
+        assert sorted(rows) == plain_best(vectors[asked], ids[asked], vectors, ids, k, floor)
+    assert max(sizes) <= 500
+
+
+def test_leaves_that_are_left_are_scored_together(monkeypatch):
+    """Without any structure nearly all rows are scored, but not leaf by leaf: some calls for a leaf of queries."""
+    rng = np.random.default_rng(5)
+    vectors, calls, products = rng.integers(-3000, 3000, (5000, 64)).astype(float), [], cover_tree.products
+    monkeypatch.setattr(cover_tree, "products", lambda *a: calls.append(len(a[0])) or products(*a))
+    tree = cover_tree.RowTree(pa.table({"vec_id": pa.array(range(5000)), "vector": int_vectors.list_column(vectors)}))
+    best = int_vectors.Best(100, 10)
+    cover_tree.search(vectors[:100], np.arange(100), tree, best)
+    leaves = len(cover_tree.CoverTree(vectors[:100], cover_tree.QUERY_LEAF).leaves())
+    assert len(tree.leaves()) > 100 and sum(calls) >= 100 and len(calls) < 0.5 * leaves * len(tree.leaves())
+
+
 def test_top_products_of_odd_rows(spark):
     table = frame(spark, ODD)
     found = cover_tree.top_products(table.where("vec_id % 10 = 0"), table, 4)

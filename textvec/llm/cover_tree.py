op13_cover_tree_search: go down the tree of rows with all nodes at once; score adjoining leaves together

Symptom: op13_cover_tree_search took 642 Python CPU seconds a GB over 0.02 GB of vectors, most of it in the tasks that compare groups of queries with blocks.
Evidence: the two visit stages took 11 and 3 task seconds of the check; a profile of the search of all blocks showed 505,760 calls for the products of one leaf of queries with one leaf of rows, some rows each, and 20 million function calls.
Fix: a node of queries is bounded against all nodes of rows that are left in one step, its children go on with those; a leaf of queries scores the best leaves first, drops what is then ruled out, and scores the rest in strips of adjoining rows. At most 131,072 products are held at once, however many copies a leaf holds. Trees, bounds, pruning and answers are the same.
Effect, together with 2 more commits on this code: at 0.6 GB of input CPU 177 -> 164 s, shuffle 0.06 -> 0.06 GB, spill 0.00 -> 0.00 GB, read 0.15 -> 0.15 GB, longest task 3 -> 2 s, most memory of a task 101 -> 101 MB; at 6 GB of input CPU 5931 -> 521 s, shuffle 0.95 -> 0.95 GB, spill 0.00 -> 0.00 GB, read 1.44 -> 1.44 GB, longest task 563 -> 25 s, most memory of a task 248 -> 248 MB; with hot keys, at 0.6 GB of input CPU 171 -> 164 s, shuffle 0.05 -> 0.05 GB, spill 0.00 -> 0.00 GB, read 0.14 -> 0.14 GB, longest task 3 -> 2 s, most memory of a task 101 -> 101 MB.

@@ -44,6 +44,7 @@ SAMPLE = 2048  # rows that the upper part of the tree is fitted on
 MAX_CELLS = 1024
 BLOCK_ROWS, GROUP_ROWS = 16_384, 512
 ROW_LEAF, QUERY_LEAF = 128, 16
+PAIRS = 1 << 17  # queries times rows whose products are held at once
 
 
 def _distances(points: np.ndarray, squares: np.ndarray, at: int | np.ndarray, centre: np.ndarray) -> np.ndarray:
@@ -148,40 +149,68 @@ class RowTree(CoverTree):
         self.lengths = lengths(self.vectors)
 
 
+def _strips(low: np.ndarray, high: np.ndarray, most: int) -> list[tuple[int, int]]:
+    """The ranges from ``low`` to ``high`` as few strips of at most ``most`` rows: those that adjoin as one."""
+    order = np.argsort(low)
+    low, high = low[order], high[order]
+    apart = low[1:] != high[:-1]
+    begins, ends = low[np.append(True, apart)].tolist(), high[np.append(apart, True)].tolist()
+    return [(i, min(i + most, end)) for begin, end in zip(begins, ends, strict=True) for i in range(begin, end, most)]
+
+
 def search(queries: np.ndarray, query_ids: np.ndarray, r: RowTree, best: Best) -> None:
-    """Offer ``best`` all rows that can be among the best of a query. A row with the query's id does not count."""
+    """Offer ``best`` all rows that can be among the best of a query. A row with the query's id does not count.
+
+    A node of queries goes down the tree of rows with all nodes that are left for it at once, and its
+    children go on with those. A leaf of queries scores the leaves of rows with the best bounds first, and
+    then, as one strip where they adjoin, those that are not ruled out by what was found."""
     if not len(queries) or not len(r.order):
         return
     q = CoverTree(queries, QUERY_LEAF)
     rows, row_ids, row_lengths = r.vectors, r.ids, r.lengths
+    row_low, row_high, inner = np.array(r.low), np.array(r.high), np.array([bool(c) for c in r.children])
     # queries are renumbered inside their tree; needed and found stay with the caller's numbers
     query_lengths = lengths(queries)
 
-    def worst(node: int) -> int:
-        return best.needed[q.order[q.low[node] : q.high[node]]].min()
+    def left(a: int, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The nodes of rows that can hold something for a query of node ``a``, and their bounds."""
+        each = _bounds(q.centres[a], q.norms[a], q.radii[a], r.centres[nodes], r.norms[nodes], r.radii[nodes])
+        kept = each >= best.needed[q.order[q.low[a] : q.high[a]]].min()
+        return nodes[kept], each[kept]
 
-    def bound(a: int, b: list[int]) -> np.ndarray:
-        return _bounds(q.centres[a], q.norms[a], q.radii[a], r.centres[b], r.norms[b], r.radii[b])
+    def score(mine: np.ndarray, nodes: np.ndarray) -> None:
+        for low, high in _strips(row_low[nodes], row_high[nodes], max(1, PAIRS // len(mine))):
+            scores = products(queries[mine], rows[low:high], query_lengths[mine], row_lengths[low:high])
+            hits = scores >= best.needed[mine, None]
+            for i in np.flatnonzero(hits.any(axis=1)):
+                at = np.flatnonzero(hits[i])
+                at = at[row_ids[low + at] != query_ids[mine[i]]]
+                best.offer(mine[i], scores[i, at], row_ids[low + at])
 
-    todo = [(0, 0, float(bound(0, [0])[0]))]
+    todo = [(0, np.zeros(1, dtype=np.int64))]
     while todo:
-        a, b, most = todo.pop()
-        if most < worst(a):
+        a, nodes = todo.pop()
+        nodes, each = left(a, nodes)
+        while len(nodes):
+            split = inner[nodes]
+            if q.children[a]:
+                split &= r.radii[nodes] >= q.radii[a]
+            if not split.any():
+                break
+            children, bounds = left(a, np.concatenate([r.children[b] for b in nodes[split]]))
+            nodes, each = np.append(nodes[~split], children), np.append(each[~split], bounds)
+        if not len(nodes):
             continue
-        if not q.children[a] and not r.children[b]:
-            mine = q.order[q.low[a] : q.high[a]]
-            part = slice(r.low[b], r.high[b])
-            scores = products(queries[mine], rows[part], query_lengths[mine], row_lengths[part])
-            hits = (scores >= best.needed[mine, None]) & (query_ids[mine, None] != row_ids[None, part])
-            for i in np.flatnonzero(hits.any(axis=1)):
-                at = np.flatnonzero(hits[i])
-                best.offer(mine[i], scores[i, at], row_ids[part][at])
-        elif not q.children[a] or (r.children[b] and r.radii[b] >= q.radii[a]):
-            children = r.children[b]
-            each = bound(a, children)
-            todo += [(a, children[i], float(each[i])) for i in np.argsort(each)]  # the best is next
-        else:
-            todo += [(c, b, float(bound(c, [b])[0])) for c in q.children[a]]
+        if q.children[a]:
+            todo += [(c, nodes) for c in q.children[a]]
+            continue
+        mine = q.order[q.low[a] : q.high[a]]
+        nodes = nodes[np.argsort(-each)]
+        ahead = int(np.searchsorted(np.cumsum(row_high[nodes] - row_low[nodes]), ROW_LEAF)) + 1
+        score(mine, nodes[:ahead])
+        nodes, _ = left(a, nodes[ahead:])
+        if len(nodes):
+            score(mine, nodes)
 
 
 FOUND = "found array<struct<row:bigint,query_id:bigint,vec_id:bigint,score:bigint>>"
