@@ -152,6 +152,23 @@ def test_leaves_that_are_left_are_scored_together(monkeypatch):
     cover_tree.search(vectors[:100], np.arange(100), tree, best)
     leaves = len(cover_tree.CoverTree(vectors[:100], cover_tree.QUERY_LEAF).leaves())
     assert len(tree.leaves()) > 100 and sum(calls) >= 100 and len(calls) < 0.5 * leaves * len(tree.leaves())
+    assert max(calls) > cover_tree.QUERY_LEAF  # and sibling leaves together
+
+
+def test_search_still_leaves_out_far_clusters(monkeypatch):
+    """With structure, leaves of queries that need other rows are scored apart: far fewer pairs than all."""
+    rng = np.random.default_rng(6)
+    centres = rng.integers(-(10**5), 10**5, (20, 16))
+    vectors = (centres[np.arange(4000) % 20] + rng.integers(-50, 50, (4000, 16))).astype(float)
+    pairs, products = [], cover_tree.products
+    monkeypatch.setattr(cover_tree, "products", lambda *a: pairs.append(len(a[0]) * len(a[1])) or products(*a))
+    tree = cover_tree.RowTree(pa.table({"vec_id": pa.array(range(4000)), "vector": int_vectors.list_column(vectors)}))
+    best = int_vectors.Best(200, 10)
+    cover_tree.search(vectors[:200], np.arange(200), tree, best)
+    assert sum(pairs) < 0.25 * 200 * 4000
+    at, found, scores = best.rows()
+    rows = sorted(zip(at.tolist(), found.tolist(), scores.tolist(), strict=True))
+    assert rows == plain_best(vectors[:200], np.arange(200), vectors, np.arange(4000), 10, None)
 
 
 def test_top_products_of_odd_rows(spark):

op13_cover_tree_search: leaves of queries that need about the same rows score them together

Symptom: on larger tables the visits' Python time still dominates op13_cover_tree_search, as a group has many leaves of some 5 queries and each scored nearly all rows by itself.
Evidence: products with 5 queries took 12.5 ns a pair, with 73 queries 4.7 ns (8,192 and 1,795 rows of 64 numbers); on a copy of the large input's vectors repeated 4 times with shifted ids, a fifth of the rows one vector (205,128 rows, local[6]), the later visits took 16.1 and 15.5 of 32.5 and 33.9 task seconds.
Fix: a leaf of queries first finds, without keeping anything, a score that its best rows reach; what is left after that is scored with its sibling leaves if they are left with about the same rows, else apart. Rows are still ruled out by the tighter balls of the leaves, and the products held at once keep their limit.
Effect, together with 2 more commits on this code: at 0.6 GB of input CPU 177 -> 164 s, shuffle 0.06 -> 0.06 GB, spill 0.00 -> 0.00 GB, read 0.15 -> 0.15 GB, longest task 3 -> 2 s, most memory of a task 101 -> 101 MB; at 6 GB of input CPU 5931 -> 521 s, shuffle 0.95 -> 0.95 GB, spill 0.00 -> 0.00 GB, read 1.44 -> 1.44 GB, longest task 563 -> 25 s, most memory of a task 248 -> 248 MB; with hot keys, at 0.6 GB of input CPU 171 -> 164 s, shuffle 0.05 -> 0.05 GB, spill 0.00 -> 0.00 GB, read 0.14 -> 0.14 GB, longest task 3 -> 2 s, most memory of a task 101 -> 101 MB.

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from textvec.llm.int_vectors import (
     EXACT,
+    LEAST,
     Best,
     Cut,
     integer_rows,
@@ -162,8 +163,9 @@ def search(queries: np.ndarray, query_ids: np.ndarray, r: RowTree, best: Best) -
     """Offer ``best`` all rows that can be among the best of a query. A row with the query's id does not count.
 
     A node of queries goes down the tree of rows with all nodes that are left for it at once, and its
-    children go on with those. A leaf of queries scores the leaves of rows with the best bounds first, and
-    then, as one strip where they adjoin, those that are not ruled out by what was found."""
+    children go on with those. A leaf of queries first looks at the leaves of rows with the best bounds for a
+    score that it needs at least, and scores all leaves that are not ruled out then, as one strip where they
+    adjoin; sibling leaves that are left with about the same rows score them together."""
     if not len(queries) or not len(r.order):
         return
     q = CoverTree(queries, QUERY_LEAF)
@@ -172,12 +174,42 @@ def search(queries: np.ndarray, query_ids: np.ndarray, r: RowTree, best: Best) -
     # queries are renumbered inside their tree; needed and found stay with the caller's numbers
     query_lengths = lengths(queries)
 
+    def members(a: int) -> np.ndarray:
+        return q.order[q.low[a] : q.high[a]]
+
     def left(a: int, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The nodes of rows that can hold something for a query of node ``a``, and their bounds."""
         each = _bounds(q.centres[a], q.norms[a], q.radii[a], r.centres[nodes], r.norms[nodes], r.radii[nodes])
-        kept = each >= best.needed[q.order[q.low[a] : q.high[a]]].min()
+        kept = each >= best.needed[members(a)].min()
         return nodes[kept], each[kept]
 
+    def down(a: int, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same below ``nodes``: leaves, and for a node of queries that has children smaller nodes than it."""
+        nodes, each = left(a, nodes)
+        while len(nodes):
+            split = inner[nodes]
+            if q.children[a]:
+                split &= r.radii[nodes] >= q.radii[a]
+            if not split.any():
+                break
+            children, bounds = left(a, np.concatenate([r.children[b] for b in nodes[split]]))
+            nodes, each = np.append(nodes[~split], children), np.append(each[~split], bounds)
+        return nodes, each
+
+    def size(nodes: np.ndarray) -> int:
+        return int((row_high[nodes] - row_low[nodes]).sum())
+
+    def expect(mine: np.ndarray, nodes: np.ndarray) -> None:
+        """Raise what queries need to their k-th score among some rows of ``nodes``, which all come to be scored."""
+        ahead = nodes[: int(np.searchsorted(np.cumsum(row_high[nodes] - row_low[nodes]), ROW_LEAF)) + 1]
+        at = np.concatenate([np.arange(row_low[b], row_high[b]) for b in ahead])
+        at = at[: min(2 * ROW_LEAF, PAIRS // len(mine))]
+        if len(at) >= best.k:
+            scores = products(queries[mine], rows[at], query_lengths[mine], row_lengths[at])
+            scores[query_ids[mine, None] == row_ids[None, at]] = LEAST
+            least = np.partition(scores, len(at) - best.k, axis=1)[:, len(at) - best.k]
+            best.needed[mine] = np.maximum(best.needed[mine], least)
+
     def score(mine: np.ndarray, nodes: np.ndarray) -> None:
         for low, high in _strips(row_low[nodes], row_high[nodes], max(1, PAIRS // len(mine))):
             scores = products(queries[mine], rows[low:high], query_lengths[mine], row_lengths[low:high])
@@ -190,27 +222,26 @@ def search(queries: np.ndarray, query_ids: np.ndarray, r: RowTree, best: Best) -
     todo = [(0, np.zeros(1, dtype=np.int64))]
     while todo:
         a, nodes = todo.pop()
-        nodes, each = left(a, nodes)
-        while len(nodes):
-            split = inner[nodes]
-            if q.children[a]:
-                split &= r.radii[nodes] >= q.radii[a]
-            if not split.any():
-                break
-            children, bounds = left(a, np.concatenate([r.children[b] for b in nodes[split]]))
-            nodes, each = np.append(nodes[~split], children), np.append(each[~split], bounds)
-        if not len(nodes):
-            continue
         if q.children[a]:
-            todo += [(c, nodes) for c in q.children[a]]
+            nodes, _ = down(a, nodes)
+        if not len(nodes):
             continue
-        mine = q.order[q.low[a] : q.high[a]]
-        nodes = nodes[np.argsort(-each)]
-        ahead = int(np.searchsorted(np.cumsum(row_high[nodes] - row_low[nodes]), ROW_LEAF)) + 1
-        score(mine, nodes[:ahead])
-        nodes, _ = left(a, nodes[ahead:])
-        if len(nodes):
-            score(mine, nodes)
+        below = q.children[a] or [a]
+        todo += [(c, nodes) for c in below if q.children[c]]
+        parts = []
+        for c in (c for c in below if not q.children[c]):
+            found, each = down(c, nodes)
+            if len(found):
+                expect(members(c), found[np.argsort(-each)])
+                found, _ = left(c, found)
+            if len(found):
+                parts.append((members(c), found))
+        if len(parts) > 1:
+            mine, union = np.concatenate([m for m, _ in parts]), np.unique(np.concatenate([n for _, n in parts]))
+            if 2 * sum(len(m) * size(n) for m, n in parts) >= len(mine) * size(union):
+                parts = [(mine, union)]
+        for mine, found in parts:
+            score(mine, found)
 
 
 FOUND = "found array<struct<row:bigint,query_id:bigint,vec_id:bigint,score:bigint>>"
