@@ -6,7 +6,8 @@ in a node with centre c and radius r, and a row p in a node with centre d and ra
     q.p <= c.d + |c| s + |d| r + r s.
 
 So a pair of nodes whose bound is below the worst k-th score of the node's queries holds nothing that
-counts. The search goes down both trees at once, the best bound first, and scores pairs of leaves.
+counts. The search goes down both trees at once, a node of queries with all nodes of rows that are left for
+it, and scores the leaves that are left together.
 
 At scale the upper part of the tree is fitted on a bounded sample; every row and every query goes to
 the leaf (the cell) whose centres are nearest on the way down, and cells get their true radii from all
